@@ -5,10 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import langid, mixing, packing, simhash
 from .common import read_table
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's share in the mix: doc_id, size, source_size, target, taken (and source, copies)."""
+    return mixing.mix(read_table(spark, sf_dir, "documents"))
+
+
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language: doc_id, held_out, lang_pred, score (and bits_per_byte)."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = langid.predict(docs.select("doc_id", "text"), langid.learn(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every token piece's place: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: doc_id, fingerprint (16 hex digits), component_id."""
     found = simhash.simhash_components(read_table(spark, sf_dir, "documents"))
@@ -16,6 +33,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op5_mixing": op5_mixing,
+    "op6_langid": op6_langid,
+    "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
 }
 
