@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, packing, simhash
-from .common import read_table
+from . import langid, licenses, mixing, packing, simhash, urls
+from .common import LOWER, UPPER, read_table
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's verdict: page_id, host, path, rule, verdict."""
+    found = urls.judge(read_table(spark, sf_dir, "pages"), urls.rule_table(spark))
+    return found.select("page_id", "host", "path", "rule", "verdict")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,11 +38,74 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license places and labels: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op2_url_filter": op2_url_filter,
     "op5_mixing": op5_mixing,
     "op6_langid": op6_langid,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
+    "op10_license_scan": op10_license_scan,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+
+
+def _url_sql() -> str:
+    """Judges by rules and carries verdicts over the closure of the page's own links (recursive, so for small tables)."""
+    node = "CASE WHEN strpos({u}, '://') > 0 THEN translate(regexp_extract({r}, '^[^/?#]*'), 'A', 'a') || regexp_extract({r}, '^[^/?#]*([^#]*)', 1) END"
+    rest = "substr({u}, strpos({u}, '://') + 3)"
+    node = node.replace("'A', 'a'", f"'{UPPER}', '{LOWER}'")
+    of = lambda u: node.replace("{r}", rest).replace("{u}", u)
+    rules = ", ".join(f"('{r}', '{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{a}')" for r, a in urls.RULES)
+    link = "regexp_extract(html, '<link[^>]*rel=\"canonical\"[^>]*href=\"(https?://[^\"]+)\"', 1)"
+    return f"""
+WITH RECURSIVE rules(rule, rh, rp, action) AS (VALUES {rules}),
+p AS (SELECT page_id, {of("url")} AS node, html FROM pages),
+e0 AS (SELECT node AS a, {of(link)} AS b FROM p WHERE node IS NOT NULL),
+e AS (SELECT a, b FROM e0 WHERE a <> b UNION SELECT b, a FROM e0 WHERE a <> b),
+nodes AS (SELECT node FROM p WHERE node IS NOT NULL UNION SELECT a FROM e),
+parts AS (SELECT node, regexp_extract(node, '^[^/?#]*') AS host, regexp_extract(node, '^[^/?#]*([^?#]*)', 1) AS path FROM nodes),
+hits AS (SELECT node, rule, action, row_number() OVER (PARTITION BY node ORDER BY length(rule) DESC, action, rule DESC) AS k
+         FROM parts JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)),
+best AS (SELECT node, rule, action FROM hits WHERE k = 1),
+reach(node, other) AS (SELECT node, node FROM nodes UNION SELECT r.node, e.b FROM reach r JOIN e ON e.a = r.other),
+around AS (SELECT r.node, max(action = 'allow') AS al, max(action = 'block') AS bl FROM reach r LEFT JOIN best b ON b.node = r.other GROUP BY r.node)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       coalesce(action, CASE WHEN al THEN 'allow' WHEN bl THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN parts ON p.node = parts.node LEFT JOIN best ON best.node = p.node LEFT JOIN around ON around.node = p.node"""
+
+
+def _license_sql() -> str:
+    places = []
+    for phrase in licenses.PHRASES:
+        words = phrase.split()
+        test = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
+        places.append(f"list_filter(range(len(w)), lambda i: {test})")
+    n, labels = range(len(places)), list(licenses.PHRASES.values())
+    sets = ", ".join(f"('{label}', {licenses.template_words(text)!r})" for label, text in licenses.TEMPLATES)
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS row, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM documents),
+s AS (SELECT row, doc_id, low, list_filter(regexp_split_to_array(low, '{licenses.GAP}'), lambda x: x <> '') AS w FROM t),
+b AS (SELECT row, doc_id, len(w) AS n_words, {", ".join(f"{x} AS p{k}" for k, x in enumerate(places))} FROM s),
+templates(label, words) AS (VALUES {sets}),
+l AS (SELECT row, unnest(string_split(low, chr(10))) AS line FROM s),
+m AS (SELECT row, label, len(list_intersect(list_distinct(regexp_split_to_array(line, '{licenses.GAP}')), words)) / len(words) AS part FROM l CROSS JOIN templates),
+f AS (SELECT row, list(DISTINCT label) AS more, max(part) AS part FROM m WHERE part >= {licenses.THRESHOLD} GROUP BY row),
+o AS (SELECT b.*, more, part, list_filter([{", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{labels[k]}' END" for k in n)}], lambda x: x IS NOT NULL) AS own,
+      {" || ".join(f"p{k}" for k in n)} AS places FROM b LEFT JOIN f ON b.row = f.row)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) AS n_base, list_min(places) AS first_word, list_max(places) AS last_word,
+       array_to_string(list_sort(list_distinct(own)), ',') AS base_labels,
+       array_to_string(list_sort(list_distinct(own || coalesce(more, []))), ',') AS labels,
+       CASE WHEN len(own) > 0 THEN 1.0::DOUBLE ELSE coalesce(part, 0.0)::DOUBLE END AS score
+FROM o"""
+
+
+#: op5 (seeded draw), op6 (learned statistics), op7 (tokenizer) and op8 (XXH64) are tested against brute force instead.
+ORACLE_SQL: dict[str, str] = {
+    "op2_url_filter": _url_sql(),
+    "op10_license_scan": _license_sql(),
+}
