@@ -5,16 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, packing, simhash, urls
+from . import attribution, chat, embeddings, langid, licenses, minhash, mixing, packing, simhash, urls
 from .common import LOWER, UPPER, read_table
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt and masked completions of all conversations, paired by their first turn."""
+    return chat.preferences(read_table(spark, sf_dir, "conversations"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's verdict: page_id, host, path, rule, verdict."""
     found = urls.judge(read_table(spark, sf_dir, "pages"), urls.rule_table(spark))
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, and their likeness."""
+    return minhash.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings: vec_id, n_links, component_id, kept."""
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's share in the mix: doc_id, size, source_size, target, taken (and source, copies)."""
     return mixing.mix(read_table(spark, sf_dir, "documents"))
@@ -38,17 +53,26 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document: doc_id, section, start, end, n_tokens, n_crossing."""
+    return attribution.section_tokens(read_table(spark, sf_dir, "documents"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's license places and labels: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     return licenses.scan(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
     "op2_url_filter": op2_url_filter,
+    "op3_minhash": op3_minhash,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_mixing": op5_mixing,
     "op6_langid": op6_langid,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
+    "op9_token_counts": op9_token_counts,
     "op10_license_scan": op10_license_scan,
 }
 
@@ -104,8 +128,39 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(len(places) AS BIGINT) A
 FROM o"""
 
 
-#: op5 (seeded draw), op6 (learned statistics), op7 (tokenizer) and op8 (XXH64) are tested against brute force instead.
+def _chat_sql() -> str:
+    render = "array_to_string(list_transform({x}, lambda t: '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)), '')"
+    mask = "array_to_string(list_transform({x}, lambda t: (length(t.role) + 5) || ':0,' || (length(t.text) + 8) || CASE WHEN t.role = 'assistant' THEN ':1' ELSE ':0' END), ',')"
+    chosen, rejected = "c[shared + 1:]", "r[shared + 1:]"
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+v AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS turns FROM t GROUP BY conv_id),
+k AS (SELECT conv_id, turns, row_number() OVER (ORDER BY md5(turns[1].role || chr(31) || turns[1].text), conv_id) - 1 AS rank FROM v),
+b AS (SELECT a.rank // 2 AS pair_id, a.conv_id AS chosen_id, z.conv_id AS rejected_id, a.turns AS c, z.turns AS r
+      FROM k a LEFT JOIN k z ON z.rank = a.rank + 1 WHERE a.rank % 2 = 0),
+s AS (SELECT *, CASE WHEN r IS NULL THEN 0 ELSE coalesce(list_min(list_filter(range(1, greatest(len(c), len(r)) + 1), lambda i: c[i] IS DISTINCT FROM r[i])) - 1, len(c)) END AS shared FROM b)
+SELECT pair_id, chosen_id, rejected_id, CAST(shared AS BIGINT) AS prompt_turns, {render.replace("{x}", "c[1:shared]")} AS prompt,
+       {render.replace("{x}", chosen)} AS chosen, {mask.replace("{x}", chosen)} AS chosen_mask,
+       CASE WHEN r IS NOT NULL THEN {render.replace("{x}", rejected)} END AS rejected, CASE WHEN r IS NOT NULL THEN {mask.replace("{x}", rejected)} END AS rejected_mask
+FROM s"""
+
+
+def _embedding_sql() -> str:
+    """All pairs by brute force (small tables only)."""
+    return """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT * FROM v WHERE vec_id IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_max(list_transform(e, lambda x: abs(x))) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95),
+r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON l.a = r.b)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, c AS component_id, v.vec_id = c AS kept
+FROM v LEFT JOIN (SELECT a, count(*) AS n FROM l GROUP BY a) x ON x.a = v.vec_id JOIN (SELECT a, min(b) AS c FROM r GROUP BY a) y ON y.a = v.vec_id"""
+
+
+#: op3 (numpy hashes), op5 (seeded draw), op6 (learned statistics), op7 and op9 (tokenizers) and op8 (XXH64) are tested
+#: against brute force instead.
 ORACLE_SQL: dict[str, str] = {
+    "op1_chat_format": _chat_sql(),
     "op2_url_filter": _url_sql(),
+    "op4_embedding_dedup": _embedding_sql(),
     "op10_license_scan": _license_sql(),
 }
