@@ -124,7 +124,7 @@ def profile_peaks(sequences: DataFrame, standard: str, novel: str, top_n: int =
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(find_peaks(rows.sort_values("i")["delta"].to_numpy(), top_n, distance), columns=["point", "delta"])
 
-    return delta.groupBy(F.lit(0)).applyInPandas(run, "point int, delta double").where(F.col("delta") > 0)
+    return delta.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(run, "point int, delta double").where(F.col("delta") > 0)
 
 
 def discover_motifs(sequences: DataFrame, standard: str, novel: str, k: int = 5, top_n: int = 20, least: int = 10, layers: int = 4) -> DataFrame:
