@@ -89,8 +89,9 @@ def common_ancestors(nodes: DataFrame, clades: DataFrame, shown: int = 10) -> Da
     ``missing_tips`` lists tips that a tree lacks, ``no_tips`` marks a clade without any; neither keeps other clades from
     being answered. A tree is one task's work; clades are joined to it, not broadcast.
     """
-    wanted = nodes.select("hmm").distinct().join(clades.select("clade", "tip", "ord"), F.lit(True))
-    met = wanted.join(tips(nodes).withColumn("there", F.lit(True)), ["hmm", "tip"], "left")
+    wanted = nodes.select(F.col("hmm").alias("hmm")).distinct().join(clades.select("clade", "tip", "ord"), F.lit(True))
+    there = tips(nodes).select(F.col("hmm").alias("hmm"), "tip", F.lit(True).alias("there"))
+    met = wanted.join(there, ["hmm", "tip"], "left")
     listed = F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("there").isNull(), F.struct("ord", "tip")))), 1, shown), lambda t: t["tip"])
     groups = met.groupBy("hmm", "clade").agg(F.array_join(listed, ",").alias("missing"), F.collect_set(F.when(F.col("there"), F.col("tip"))).alias("tips"))
 
