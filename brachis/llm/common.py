@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 
@@ -70,6 +71,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release_memory() -> None:
+    """Give memory that a task has freed back to the system, as a worker outlives its task and shares its executor."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def ascii_lower(column):
     """A-Z to a-z; other letters stay (``lower`` would also turn the Kelvin sign into an ASCII k)."""
     return F.translate(column, UPPER, LOWER)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold_ascii, slices, text_buffers
+from .common import fold_ascii, release_memory, slices, text_buffers
 
 ORDER = 2
 SAMPLE_DOCS = 600
@@ -141,7 +141,7 @@ def score_batch(column: pa.Array, model: dict) -> tuple[np.ndarray, np.ndarray,
     n = len(offsets) - 1
     bits = np.zeros((n, len(tables)))
     letter = np.zeros(n, bool)
-    for lo, hi in slices(offsets, 1_000_000):
+    for lo, hi in slices(offsets, 500_000):
         part, starts = _padded(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], order)
         sym = symbol[part]
         code = sym[: len(sym) - order].copy()
@@ -193,6 +193,7 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text", pred_col: str
                 best, score = np.where(letter, best, len(langs) - 1), np.where(letter, score, 0.0)
             more = [pa.array(langs[best], pa.string()), pa.array(score), pa.array(rate)]
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=schema.names)
+        release_memory()
 
     return docs.mapInArrow(run, schema)
 

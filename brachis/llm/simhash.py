@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_table, fold_ascii, slices, stage_table, text_buffers, word_spans
+from .common import drop_table, fold_ascii, release_memory, slices, stage_table, text_buffers, word_spans
 from .components import connected_components
 
 SEED = 42
@@ -35,7 +35,7 @@ def simhash_batch(column: pa.Array, shingle: int = 3) -> np.ndarray:
     """Fingerprint of each text as uint64: a bit is set if it is set in over half of the shingles' hashes."""
     data, offsets = text_buffers(column)
     out = np.zeros(len(offsets) - 1, np.uint64)
-    for lo, hi in slices(offsets):
+    for lo, hi in slices(offsets, 500_000):
         part = fold_ascii(data[offsets[lo] : offsets[hi]])
         starts, ends, first = word_spans(part, offsets[lo : hi + 1] - offsets[lo])
         if not len(starts):
@@ -78,6 +78,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         for batch in batches:
             fp = simhash_batch(batch.column(1)).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
+        release_memory()
 
     kind = docs.select(id_col).dtypes[0][1]
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
@@ -187,6 +188,8 @@ def near_links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, sub_t
                 yield _links(src, dst)
         if (links := settle()) is not None:
             yield _links([links[0]], [links[1]])
+        state.clear()
+        release_memory()
 
     return dealt.mapInArrow(run, "src long, dst long")
 
