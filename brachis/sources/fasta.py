@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 def read_fasta(spark: SparkSession, path, pattern: str | None = None) -> DataFrame:
-    """(file, seq_id, ord, sequence): one row a record of the files at ``path``.
+    """(file, seq_id, ord, sequence): one row a record of the files at ``path``; ``ord`` orders those of a file.
 
     The id is the first word after ``>``; sequence lines are put together. Text before the first header and empty files
     give nothing. An id that a file holds twice stands at its first place with its last sequence. Records are the unit of
@@ -15,21 +15,25 @@ def read_fasta(spark: SparkSession, path, pattern: str | None = None) -> DataFra
     """
     reader = spark.read.option("lineSep", "\n>")
     reader = reader.option("pathGlobFilter", pattern) if pattern else reader
-    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"))
-    raw = reader.text(path).select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), place.alias("at"), "value")
+    meta = F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")
+    raw = reader.text(path).select(*meta, F.monotonically_increasing_id().alias("row"), "value")
+    # places within a file from the counts of its blocks: one row a block, so no file is ever sorted by one task
+    blocks = raw.groupBy("path", "block").agg(F.min("row").alias("low"), F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select("path", "block", "low", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    placed = raw.join(blocks, ["path", "block"]).withColumn("ord", F.col("before") + F.col("row") - F.col("low"))
     # only the record at a file's beginning still has its own mark; what stands before the first mark has none
-    head = (F.col("at.block") == 0) & (F.col("at.row") == F.min("at.row").over(Window.partitionBy("path", "at.block")))
-    raw = raw.withColumn("first", head).where(~F.col("first") | F.ltrim("value").startswith(">"))
-    body = F.when(F.col("first"), F.regexp_replace("value", r"^\s*>", "")).otherwise(F.col("value"))
-    records = raw.select("file", "path", "at", F.regexp_extract(body, r"^[ \t]*(\S+)", 1).alias("seq_id"), F.regexp_replace(F.regexp_replace(body, r"^[^\n]*\n?", ""), r"\s+", "").alias("sequence"))
-    return last_wins(records.where(F.col("seq_id") != ""), ["path", "seq_id"], "at", "sequence").select("file", "seq_id", "ord", "sequence")
+    first = F.col("ord") == 0
+    body = F.when(first, F.regexp_replace("value", r"^\s*>", "")).otherwise(F.col("value"))
+    sequence = F.regexp_replace(F.regexp_replace(body, r"^[^\n]*\n?", ""), r"\s+", "")
+    records = placed.where(~first | F.ltrim("value").startswith(">")).select("file", "path", "ord", F.regexp_extract(body, r"^[ \t]*(\S+)", 1).alias("seq_id"), sequence.alias("sequence"))
+    return last_wins(records.where(F.col("seq_id") != ""), ["path", "seq_id"], "ord", "sequence").select("file", "seq_id", "ord", "sequence")
 
 
 def last_wins(rows: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
-    """One row a key: the last value in the given order, at the first one's place (``ord``, from 0 within the file)."""
+    """One row a key: the last value in the given order, at the first one's place."""
     other = [c for c in rows.columns if c not in {*key, order, value}]
-    kept = rows.groupBy(*key).agg(F.min(order).alias("_first"), F.max_by(value, order).alias(value), *(F.first(c).alias(c) for c in other))
-    return kept.withColumn("ord", F.row_number().over(Window.partitionBy(key[0]).orderBy("_first")).cast("long") - 1).drop("_first")
+    return rows.groupBy(*key).agg(F.min(order).alias(order), F.max_by(value, order).alias(value), *(F.first(c).alias(c) for c in other))
 
 
 def read_proteomes(spark: SparkSession, path: str) -> DataFrame:

@@ -36,11 +36,23 @@ def test_read_fasta(spark, tmp_path):
     write(tmp_path, "b.faa", ">t1\nMSKGEELFT")
     write(tmp_path, "empty.faa", "")
     rows = fasta.read_fasta(spark, str(tmp_path), "*.faa").orderBy("file", "ord").collect()
-    assert [(r.file, r.seq_id, r.ord, r.sequence) for r in rows] == [("a.faa", "s1", 0, "GG"), ("a.faa", "s2", 1, "AA"), ("a.faa", "s3", 2, ""), ("b.faa", "t1", 0, "MSKGEELFT")]
+    assert [(r.file, r.seq_id, r.sequence) for r in rows] == [("a.faa", "s1", "GG"), ("a.faa", "s2", "AA"), ("a.faa", "s3", ""), ("b.faa", "t1", "MSKGEELFT")]
     one = fasta.read_proteomes(spark, str(tmp_path)).where("genome = 'b.faa'").first()
     assert (one.protein, one.sequence) == ("t1", "MSKGEELFT")
 
 
+def test_fasta_order_over_splits(spark, tmp_path):
+    text = "".join(f">s{k} x\nMK{'A' * (k % 50)}\nVL\n" for k in range(3000))
+    write(tmp_path, "big.faa", text)
+    write(tmp_path, "small.faa", ">t\nM\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        rows = fasta.read_fasta(spark, str(tmp_path), "*.faa").where("file = 'big.faa'").orderBy("ord").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [(r.seq_id, r.sequence) for r in rows] == [(f"s{k}", f"MK{'A' * (k % 50)}VL") for k in range(3000)]
+
+
 def test_fasta_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([("seq1", "MSKGEELFT", 0), ("seq2", "MVSKGEELFT", 1)], "seq_id string, sequence string, ord long")
     fasta.write_fasta(rows, str(tmp_path / "out"), order=["ord"])
