@@ -24,13 +24,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold_ascii, release_memory, slices, text_buffers
+from .common import fold_ascii, release_memory, slices, stage_table, text_buffers
 
 ORDER = 2
 SAMPLE_DOCS = 600
+BROADCAST_LANGUAGES = 10_000
 UNDETERMINED = "und"
 #: What counts as no language in the pipeline: more bits a byte than prose of any learned language needs, or a coin toss.
-MAX_BITS = 6.0
+MAX_BITS = 7.5
 MIN_SCORE = 0.5
 
 
@@ -53,10 +54,16 @@ def _padded(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarr
 
 def sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """(lang, text) of the learning sample: at most ``sample_docs`` rows a language."""
+    h = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 52) - 1))
     ok = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     ok = ok.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
+    thin = ok.select("doc_id", "lang", h.alias("h"))
+    sizes = stage_table(thin.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    side = F.broadcast(sizes) if sizes.count() <= BROADCAST_LANGUAGES else sizes
+    # only hashes that can be among the smallest (with a margin of eight) are ranked, so no language fills a task
+    near = thin.join(side, "lang").where(F.col("h") / F.lit(float(1 << 52)) * F.col("n") < 8 * sample_docs)
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = ok.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample_docs)
+    chosen = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample_docs)
     # at most sample_docs ids a language: a proven bound for the broadcast
     return ok.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi").select("lang", "text")
 
