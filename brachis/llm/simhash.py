@@ -27,7 +27,9 @@ from .components import connected_components
 
 SEED = 42
 RADIUS = 2
-BLOCKS = 4
+#: Blocks whose population counts make a tile: twice as many from this number of fingerprints on. Any number is exact; more
+#: blocks send each fingerprint to more neighbouring tiles and compare it with fewer others.
+BLOCKS, MORE_BLOCKS_FROM = 4, 20_000_000
 SUB_TILE = 16_384
 
 
@@ -202,7 +204,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(doc_id, fp, component_id) for every row of ``docs``; component_id is the smallest doc_id reachable over links."""
     prints = stage_table(fingerprints(docs, id_col, text_col), "simhash")
     distinct = stage_table(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
-    roots = connected_components(near_links(distinct.select("fp"), radius))
+    blocks = BLOCKS if distinct.count() < MORE_BLOCKS_FROM else 2 * BLOCKS
+    roots = connected_components(near_links(distinct.select("fp"), radius, blocks))
     member = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
     named = member.groupBy("root").agg(F.min("low").alias("component_id"))
     label = stage_table(member.join(named, "root").select("fp", "component_id"), "simhash-label")
@@ -213,8 +216,7 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs`` that stand for their group: one row of each component, the one with the smallest doc_id.
 
-    Rows with a null doc_id go when their group has another row, as the group's row is known by its id; a group of
-    nothing but null ids keeps all of them.
+    The kept row is known by its id, so rows with a null doc_id go unless some group has nothing else: then all of them stay.
     """
     marks = stage_table(simhash_components(docs, id_col, text_col, radius), "simhash-marks")
     kept = marks.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct().withColumnRenamed("doc_id", "_kept")
