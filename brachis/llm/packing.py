@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import slices, stage_table, text_buffers
+from .common import release_memory, slices, stage_table, text_buffers
 from .tokens import encoder, tokenizer_path
 
 CAPACITY = 4096
 END_ID = 1
 #: Pieces of one length are ranked in salted groups of about this many.
-RANK_GROUP = 1_000
+RANK_GROUP = 250
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,7 +41,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
         encode = encoder(path)
         for batch in batches:
             _, offsets = text_buffers(batch.column(1))
-            for lo, hi in slices(offsets, 2_000_000):
+            for lo, hi in slices(offsets, 3_000_000):
                 ids, at = encode(batch.column(1).slice(lo, hi - lo))
                 row, piece, start, length, crc = [], [], [], [], []
                 end = np.array([end_id], np.uint32).tobytes()
@@ -55,6 +55,7 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, toke
                         crc.append(zlib.crc32(end, value) if e == n else value)
                 ints = lambda x: pa.array(x, pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).take(ints(row)), pa.array(piece, pa.int32()), ints(start), ints(length), ints(crc)], names=schema.names)
+        release_memory()
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 

@@ -2,8 +2,8 @@
 
 The tokenizer drops white space and never joins symbols across it, so a text's ids are those of its chunks between ASCII
 white space, one after another. Arrow splits a batch into chunks and finds the distinct ones; letters followed by ASCII
-punctuation are encoded apart (the tokenizer always cuts there), anything else as it stands. A bounded cache keeps the ids
-of parts seen before.
+punctuation are encoded apart (the tokenizer always cuts there), anything else as it stands. Bounded caches keep the ids
+of chunks and parts seen before; chunks are looked up in Arrow, so only new ones become Python strings.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECES = 250_000
+#: Parts, and whole chunks, whose ids a worker keeps.
+PIECES, CHUNKS = 120_000, 600_000
 _PUNCT = string.punctuation
 
 
@@ -33,10 +34,9 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cache: dict[str, array] = {}
+        self._forget()
 
     def _learn(self, parts: list[str]) -> None:
-        if len(self.cache) + len(parts) > PIECES:
-            self.cache.clear()
         model = self.tokenizer.model
         other = []
         for part in parts:
@@ -55,39 +55,63 @@ class WordEncoder:
             for k, part in enumerate(some):
                 self.cache[part] = ids[cuts[k] : cuts[k + 1]]
 
-    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        if column.null_count:
-            column = column.fill_null("")
-        lists = pc.ascii_split_whitespace(pc.ascii_lower(column))
-        at = lists.offsets.to_numpy().astype(np.int64)
-        coded = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
-        at = at - at[0]
-        chunks = coded.dictionary.to_pylist()
+    def _add(self, chunks: list[str]) -> None:
+        """Append the ids of chunks not met before to the arena."""
         cut = []
         for x in chunks:
             if x.isalpha():
                 cut.append((x,))
             else:
                 base = x.rstrip(_PUNCT)
-                cut.append((base, x[len(base) :]) if base.isalpha() and base != x else (x,) if x else ())
+                cut.append((base, x[len(base) :]) if base != x and base.isalpha() else (x,) if x else ())
         cache = self.cache
         need = {p for parts in cut for p in parts}
-        if fresh := [p for p in need if p not in cache]:
-            self._learn(fresh)
-            if missing := [p for p in need if p not in cache]:  # the cache was emptied
-                self._learn(missing)
-        flat, lengths = array("I"), np.empty(len(cut), np.int64)
-        for k, parts in enumerate(cut):
+        fresh = [p for p in need if p not in cache]
+        if len(cache) + len(fresh) > PIECES:
+            cache.clear()
+            fresh = list(need)
+        self._learn(fresh)
+        flat, lengths = array("I"), []
+        for parts in cut:
             was = len(flat)
             for p in parts:
                 flat += cache[p]
-            lengths[k] = len(flat) - was
-        arena = np.frombuffer(flat, np.uint32) if len(flat) else np.empty(0, np.uint32)
-        begin = np.cumsum(lengths) - lengths
-        codes = coded.indices.to_numpy()
-        each = lengths[codes]
+            lengths.append(len(flat) - was)
+        each = np.array(lengths, np.int64)
+        self.begin = np.concatenate((self.begin, len(self.arena) + np.cumsum(each) - each))
+        self.length = np.concatenate((self.length, each))
+        self.arena = np.concatenate((self.arena, np.array(flat, np.uint32)))
+        self.known = pa.concat_arrays([self.known, pa.array(chunks, pa.string())])
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.string())
+        self.begin, self.length, self.arena = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
+
+    def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        if column.null_count:
+            column = column.fill_null("")
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(column))
+        at = lists.offsets.to_numpy().astype(np.int64)
+        coded = lists.values.slice(at[0], at[-1] - at[0]).dictionary_encode()
+        at = at - at[0]
+        distinct = coded.dictionary.cast(pa.string())
+        if len(self.known) > CHUNKS:
+            self._forget()
+        place = pc.index_in(distinct, value_set=self.known)
+        if place.null_count:
+            new = place.is_null()
+            first = len(self.known)
+            self._add(distinct.filter(new).to_pylist())
+            place, new = place.fill_null(0).to_numpy().astype(np.int64), new.to_numpy(zero_copy_only=False)
+            place[new] = first + np.arange(int(new.sum()))
+        else:
+            place = place.to_numpy().astype(np.int64)
+        which = place[coded.indices.to_numpy()]
+        each = self.length[which]
         upto = np.concatenate(([0], np.cumsum(each)))
-        ids = arena[np.repeat(begin[codes] - upto[:-1], each) + np.arange(upto[-1])]
+        place = np.repeat(self.begin[which] - upto[:-1], each)
+        place += np.arange(upto[-1])
+        ids = self.arena[place]
         return ids, upto[at]
 
 
