@@ -4,8 +4,10 @@ A pass gives each vector a code of concatenated random hyperplane signs, orders
 range partitioned sort), and compares each with a bounded window of its predecessors; verified pairs of all passes are
 united by distributed connected components. The number of passes follows from the number of vectors so that a pair right
 at the threshold meets in some pass with probability ``recall``. Exact copies are one vector with a count from the start.
-Windows cannot hold a large group, so each component is then compared with itself, tile by tile, which makes the links
-within it complete; only counts leave the tiles, never pairs.
+Windows cannot hold a large group, so the links within each component are then completed without pairs. Its core, the
+vectors within half the threshold's angle of its first one, are all linked with each other (angles add up at most), so
+their links are a count; the rest is compared with the whole component, tile by tile, and only counts leave the tiles. A
+large group of near copies thus costs one comparison a member.
 
 Defined results: vectors that are null, empty or zero, or hold null or non-finite components, link with nothing, as do
 vectors of different lengths; a row with a null vec_id links with nothing and has a null component_id; repeated rows are
@@ -144,17 +146,36 @@ def window_links(codes: DataFrame, threshold: float, window: int) -> DataFrame:
     return codes.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
+def with_core(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``members(component, rep, n, unit)`` with ``core``: whether a vector is so near to its component's first that all such
+    are linked with each other. A margin far above rounding errors keeps doubtful ones out."""
+    least = math.cos(math.acos(threshold) / 2) + 1e-9
+    members = members.select("component", "rep", "n", "unit")
+    first = members.groupBy("component").agg(F.min_by("unit", "rep").alias("first"))
+    schema = T.StructType([*members.schema.fields, T.StructField("core", T.BooleanType())])
+
+    def run(batches):
+        for batch in batches:
+            core = [len(a) == len(b) and bool(np.frombuffer(a, "<f8") @ np.frombuffer(b, "<f8") >= least) for a, b in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(core, pa.bool_())], names=schema.names)
+
+    return members.join(first, "component").mapInArrow(run, schema)
+
+
 def component_links(members: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
-    """(rep, links): for ``members(component, rep, n, unit)``, how many vectors of its component each one links with.
+    """(rep, links): for ``members(component, rep, n, unit, core)``, how many vectors of its component each one links with.
 
-    ``n`` is the number of copies that a row stands for. A component is cut into tiles; a tile is held in memory and the
-    members of the tiles before it stream past.
+    ``n`` is the number of copies that a row stands for. Vectors outside the core are cut into tiles; a tile is held in
+    memory, and the core and the members of the tiles before it stream past.
     """
     kind = members.schema["rep"].dataType
     schema = T.StructType([T.StructField("rep", kind), T.StructField("links", T.LongType())])
-    sizes = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
-    met = members.join(sizes, "component").withColumn("home", F.pmod(F.xxhash64("rep"), F.col("tiles").cast("long")).cast("int"))
-    met = met.select("component", F.explode(F.sequence("home", F.col("tiles") - 1)).alias("tile"), "home", "rep", "n", "unit")
+    inner = members.where("core").groupBy("component").agg(F.sum("n").alias("core_n"))
+    among = members.where("core").join(inner, "component").select("rep", (F.col("core_n") - F.col("n")).alias("links"))
+    sizes = members.where(~F.col("core")).groupBy("component").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    home = F.when(F.col("core"), -1).otherwise(F.pmod(F.xxhash64("rep"), F.col("tiles").cast("long")).cast("int"))
+    met = members.join(sizes, "component").withColumn("home", home)
+    met = met.select("component", F.explode(F.sequence(F.greatest("home", F.lit(0)), F.col("tiles") - 1)).alias("tile"), "home", "rep", "n", "unit")
     met = met.select("component", "tile", (F.col("tile") != F.col("home")).alias("visits"), "rep", "n", "unit")
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = met.repartition(parts, "component", "tile").sortWithinPartitions("component", "tile", "visits")
@@ -199,7 +220,7 @@ def component_links(members: DataFrame, threshold: float = THRESHOLD, tile: int
         if own is not None:
             yield out(own[0], own[3])
 
-    return dealt.mapInArrow(run, schema).groupBy("rep").agg(F.sum("links").alias("links"))
+    return dealt.mapInArrow(run, schema).unionByName(among).groupBy("rep").agg(F.sum("links").alias("links"))
 
 
 def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -211,7 +232,8 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, window: int
     passes = passes_for(classes.count(), threshold, window, recall)
     roots = connected_components(window_links(_codes(classes, passes), threshold, window))
     roots = stage_table(roots.select(F.col("node").alias("rep"), "component"), "roots")
-    links = component_links(classes.join(roots, "rep").select("component", "rep", "n", "unit"), threshold)
+    members = stage_table(with_core(classes.join(roots, "rep"), threshold), "linked-units")
+    links = component_links(members, threshold)
     label = classes.join(roots, "rep", "left").join(links, "rep", "left")
     label = stage_table(label.select("unit", F.coalesce("component", "rep")["vec_id"].alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "unit-labels")
     drop_table(classes)

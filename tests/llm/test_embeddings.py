@@ -36,14 +36,19 @@ def test_matches_brute_force(spark):
 
 def test_component_links_in_tiles(spark):
     rng = np.random.default_rng(2)
-    x = rng.normal(size=8) + 0.3 * rng.normal(size=(50, 8))
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    members = spark.createDataFrame([(1, k, 1 + k % 3, bytearray(v.astype("<f8").tobytes())) for k, v in enumerate(x)], "component long, rep long, n long, unit binary")
-    n = np.array([1 + k % 3 for k in range(50)])
-    near = x @ x.T >= 0.95
-    for tile in (7, 1000):
-        got = {r.rep: r.links for r in embeddings.component_links(members, 0.95, tile).collect()}
-        assert got == {k: int(near[k] @ n - n[k]) for k in range(50)}
+    for noise in (0.05, 0.3):
+        x = rng.normal(size=8) + noise * rng.normal(size=(50, 8))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        members = spark.createDataFrame([(1, k, 1 + k % 3, bytearray(v.astype("<f8").tobytes())) for k, v in enumerate(x)], "component long, rep long, n long, unit binary")
+        n = np.array([1 + k % 3 for k in range(50)])
+        near = x @ x.T >= 0.95
+        marked = embeddings.with_core(members, 0.95)
+        core = np.array([r.core for r in sorted(marked.collect(), key=lambda r: r.rep)])
+        assert core.any() and near[np.ix_(core, core)].all()
+        for table in (marked, members.withColumn("core", F.lit(False))):
+            for tile in (7, 1000):
+                got = {r.rep: r.links for r in embeddings.component_links(table, 0.95, tile).collect()}
+                assert got == {k: int(near[k] @ n - n[k]) for k in range(50)}
 
 
 def test_passes_grow_slowly():
