@@ -151,7 +151,8 @@ def with_core(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     are linked with each other. A margin far above rounding errors keeps doubtful ones out."""
     least = math.cos(math.acos(threshold) / 2) + 1e-9
     members = members.select("component", "rep", "n", "unit")
-    first = members.groupBy("component").agg(F.min_by("unit", "rep").alias("first"))
+    # a table of its own, so that the rows of a large component need not come to the task that aggregated it
+    first = stage_table(members.groupBy("component").agg(F.min_by("unit", "rep").alias("first")), "first-units")
     schema = T.StructType([*members.schema.fields, T.StructField("core", T.BooleanType())])
 
     def run(batches):
@@ -170,9 +171,9 @@ def component_links(members: DataFrame, threshold: float = THRESHOLD, tile: int
     """
     kind = members.schema["rep"].dataType
     schema = T.StructType([T.StructField("rep", kind), T.StructField("links", T.LongType())])
-    inner = members.where("core").groupBy("component").agg(F.sum("n").alias("core_n"))
+    inner = stage_table(members.where("core").groupBy("component").agg(F.sum("n").alias("core_n")), "cores")
     among = members.where("core").join(inner, "component").select("rep", (F.col("core_n") - F.col("n")).alias("links"))
-    sizes = members.where(~F.col("core")).groupBy("component").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles"))
+    sizes = stage_table(members.where(~F.col("core")).groupBy("component").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles")), "tiled")
     home = F.when(F.col("core"), -1).otherwise(F.pmod(F.xxhash64("rep"), F.col("tiles").cast("long")).cast("int"))
     met = members.join(sizes, "component").withColumn("home", home)
     met = met.select("component", F.explode(F.sequence(F.greatest("home", F.lit(0)), F.col("tiles") - 1)).alias("tile"), "home", "rep", "n", "unit")
