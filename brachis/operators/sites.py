@@ -18,8 +18,10 @@ def sites(alignment: DataFrame, sequence: str = "aligned", width: int | None = N
     With ``width`` every row has that many sites, those beyond its end without residue.
     """
     keep = [c for c in alignment.columns if c != sequence]
-    last = F.lit(width) if width else F.length(sequence)
-    numbers = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
+    if not width:  # cut into characters once, so that a row's work grows with its length and not with its square
+        long = alignment.where(F.length(sequence) >= 1).select(*keep, F.posexplode(F.split(sequence, "")).alias("site", "aa"))
+        return long.select(*keep, (F.col("site") + 1).alias("site"), residue(F.col("aa")).alias("aa"))
+    numbers = F.sequence(F.lit(1), F.lit(width))
     long = alignment.select(*keep, sequence, F.explode(numbers).alias("site"))
     return long.select(*keep, "site", residue(F.substr(sequence, F.col("site"), F.lit(1))).alias("aa"))
 
@@ -64,18 +66,36 @@ def kl_divergence(long: DataFrame, clades: DataFrame, pairs: DataFrame, by: list
     summed over all residues, those that neither clade has included. Both sides are counted in one pass: the long table
     meets the pairs once, and each residue adds to the side or sides that its tip is on.
     """
-    spark = long.sparkSession
+    sided = _sided(long.select("tip"), clades, pairs)
+    return _divergence(long.join(sided, "tip"), long.select(*by, "site").distinct(), pairs, by, pseudocount)
+
+
+def alignment_divergence(alignment: DataFrame, clades: DataFrame, pairs: DataFrame, by: list[str] | tuple = ("hmm",), pseudocount: float = PSEUDOCOUNT, sequence: str = "aligned") -> DataFrame:
+    """``kl_divergence`` of an alignment's rows: sides are given to rows before they are cut into sites, so no site is shuffled by tip."""
+    rows = alignment.select(*by, "tip", sequence)
+    last = rows.groupBy(*by).agg(F.max(F.length(sequence)).alias("last")).where(F.col("last") >= 1)
+    places = last.select(*by, F.explode(F.sequence(F.lit(1), F.col("last"))).alias("site"))
+    return _divergence(sites(rows.join(_sided(rows.select("tip"), clades, pairs), "tip"), sequence), places, pairs, by, pseudocount)
+
+
+def _sided(tips: DataFrame, clades: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(a, b, tip, side): on which side of which pairs the tips stand."""
     named = clades.select("clade", "tip").distinct()
     side = lambda which: pairs.join(named, F.col(which) == F.col("clade")).select("a", "b", "tip", F.lit(which).alias("side"))
     sided = side("a").unionByName(side("b"))
     rest = pairs.join(named.select(F.col("clade").alias("b")).distinct(), "b", "left_anti").where(F.col("b") == "background")
-    outside = long.select("tip").distinct().join(rest, F.lit(True)).join(named.select(F.col("clade").alias("a"), "tip"), ["a", "tip"], "left_anti")
-    sided = sided.unionByName(outside.select("a", "b", "tip", F.lit("b").alias("side")))
-    counted = long.join(sided, "tip").where(F.col("aa").isNotNull()).groupBy(*by, "a", "b", "site", "aa")
+    outside = tips.distinct().join(rest, F.lit(True)).join(named.select(F.col("clade").alias("a"), "tip"), ["a", "tip"], "left_anti")
+    return sided.unionByName(outside.select("a", "b", "tip", F.lit("b").alias("side")))
+
+
+def _divergence(met: DataFrame, places: DataFrame, pairs: DataFrame, by: list[str] | tuple, pseudocount: float) -> DataFrame:
+    """``kl_divergence`` from ``met(by, a, b, side, site, aa)`` and all ``places(by, site)``."""
+    spark = met.sparkSession
+    counted = met.where(F.col("aa").isNotNull()).groupBy(*by, "a", "b", "site", "aa")
     on = lambda which: F.count(F.when(F.col("side") == which, 1))
     counts = counted.agg(on("a").alias("n_a"), on("b").alias("n_b"))
     alphabet = spark.createDataFrame([(r,) for r in RESIDUES], "aa string")
-    grid = long.select(*by, "site").distinct().join(F.broadcast(pairs.select("a", "b").distinct()), F.lit(True)).join(F.broadcast(alphabet), F.lit(True))
+    grid = places.join(F.broadcast(pairs.select("a", "b").distinct()), F.lit(True)).join(F.broadcast(alphabet), F.lit(True))
     keys = [*by, "a", "b", "site"]
     full = grid.join(counts, [*keys, "aa"], "left").fillna(0, ["n_a", "n_b"])
     totals = full.groupBy(*keys).agg(F.sum("n_a").alias("nA"), F.sum("n_b").alias("nB"), F.collect_list(F.struct("n_a", "n_b")).alias("c"))  # 20 rows a key

@@ -43,8 +43,8 @@ def _lineages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first 60 characters of each document as an alignment row."""
-    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tip"), "lang", F.substr("text", F.lit(1), F.lit(60)).alias("aligned"))
+    """Each document's whole text as an alignment row."""
+    return _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tip"), "lang", F.col("text").alias("aligned"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,12 +78,12 @@ def site_divergence(spark, sf_dir):
     alignment = _alignment(spark, sf_dir)
     clades = alignment.where(F.col("lang").isin("en", "de")).select(F.col("lang").alias("clade"), "tip")
     pairs = spark.createDataFrame([("en", "de")], "a string, b string")
-    found = sites.kl_divergence(sites.sites(alignment.drop("lang"), width=60), clades, pairs, by=())
+    found = sites.alignment_divergence(alignment.drop("lang"), clades, pairs, by=())
     return found.select(F.col("site_1based").cast("long").alias("site"), F.round("kl_bits", 6).alias("kl_bits"), F.col("nA").alias("na"), F.col("nB").alias("nb"))
 
 
 def site_conservation(spark, sf_dir):
-    long = sites.sites(_alignment(spark, sf_dir).withColumnRenamed("lang", "hmm"), width=60)
+    long = sites.sites(_alignment(spark, sf_dir).withColumnRenamed("lang", "hmm"))
     found = sites.conservation(long)
     return found.select("hmm", "scope", F.col("site_1based").cast("long").alias("site_1based"), F.round("conservation", 6).alias("conservation"))
 

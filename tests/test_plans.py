@@ -72,3 +72,14 @@ def test_hit_stream(spark, tmp_path):
     out = stream.enriched(stream.read_hit_stream(spark, str(tmp_path / "in")), None, tax)
     stream.write_hit_stream(out, str(tmp_path / "out"), str(tmp_path / "ck")).awaitTermination()
     assert [(r.protein, r.taxonomy) for r in spark.read.parquet(str(tmp_path / "out")).collect()] == [("p", "T")]
+
+
+def test_site_queries_take_whole_texts(spark, tmp_path):
+    rows = [(1, "en", "A" * 100 + "C"), (2, "de", "A" * 100 + "D" * 20), (3, "fr", "ä" * 130 + "W"), (4, "en", "")]
+    spark.createDataFrame(rows, "doc_id long, lang string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    kept = {(r.hmm, r.site_1based): r.conservation for r in catalogue.site_conservation(spark, str(tmp_path)).collect()}
+    assert set(kept) == {(lang, s) for lang, n in (("en", 101), ("de", 120), ("fr", 131)) for s in range(1, n + 1)}
+    assert kept["en", 101] == kept["fr", 131] == 1.0 and kept["fr", 130] is None
+    split = {r.site: r for r in catalogue.site_divergence(spark, str(tmp_path)).collect()}
+    assert set(split) == set(range(1, 132))
+    assert split[100].kl_bits == 0 and split[101].kl_bits > 10 and (split[110].na, split[110].nb, split[131].na) == (0, 1, 0)
