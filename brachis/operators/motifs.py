@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.identifiers import lineage_kind
 from ..functions.sequences import for_discovery, for_motifs, kmer_at, motif_positions, raw_position, resample
@@ -153,3 +155,98 @@ def kmer_summary(found: DataFrame, top_n: int = 20) -> DataFrame:
         F.min_by("seq_id", F.struct(-F.col("delta"), "ord")).alias("representative_seq_id"),
     )
     return out.orderBy(F.col("mean_attention_delta").desc(), "kmer").limit(top_n)
+
+
+def _kmer_keys(text: str, k: int) -> np.ndarray | None:
+    """A number for each k-mer of a text; None where code points are too large for k of them to fit in one number."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    bits = 62 // k
+    if len(points) and points.max() >> bits:
+        return None
+    key, n = np.zeros(len(points) - k + 1, np.int64), len(points) - k + 1
+    for i in range(k):
+        key = key << bits | points[i : i + n]
+    return key
+
+
+def _kmer_of(key: int, k: int) -> str:
+    bits = 62 // k
+    return "".join(chr(key >> bits * i & (1 << bits) - 1) for i in range(k - 1, -1, -1))
+
+
+def common_kmers(sequences: DataFrame, k: int = 5, top_n: int = 50) -> DataFrame:
+    """Of all k-mers of ``sequences(seq_id, sequence)`` the ``top_n`` that most of them hold, ties by k-mer: kmer, n_sequences,
+    mean_position, median_position (from 1), representative_seq_id (the smallest).
+
+    Every position of every sequence counts. The first pass counts sequences only, summed over a batch before they leave the
+    task; positions are then summed for the k-mers chosen. Rows of one seq_id are one sequence; null ones count for none.
+    """
+    given = sequences.select("seq_id", "sequence").where(F.length("sequence") >= k)
+    kind = given.schema["seq_id"].dataType
+    repeated = given.groupBy("seq_id").agg(F.count(F.lit(1)).alias("_rows")).where((F.col("_rows") > 1) & F.col("seq_id").isNotNull())
+
+    def held(batches):
+        def summed(keys: list[np.ndarray], rare: dict[str, int]) -> pa.RecordBatch:
+            found, n = np.unique(np.concatenate([np.empty(0, np.int64), *keys]), return_counts=True)
+            kmers = [_kmer_of(x, k) for x in found.tolist()]
+            return pa.RecordBatch.from_arrays([pa.array(kmers + list(rare), pa.string()), pa.array(n.tolist() + list(rare.values()), pa.int64())], names=["kmer", "n"])
+
+        keys, rare, size = [], {}, 0
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                key = _kmer_keys(text, k)
+                if key is None:
+                    for x in {text[i : i + k] for i in range(len(text) - k + 1)}:
+                        rare[x] = rare.get(x, 0) + 1
+                else:
+                    keys.append(np.unique(key))
+                size += len(text)
+                if size > 8_000_000:
+                    yield summed(keys, rare)
+                    keys, rare, size = [], {}, 0
+        yield summed(keys, rare)
+
+    def held_by(batches):
+        for batch in batches:
+            for at, text in enumerate(batch.column(1).to_pylist()):
+                kmers = list({text[i : i + k] for i in range(len(text) - k + 1)})
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array([at] * len(kmers), pa.int64())), pa.array(kmers, pa.string())], names=["seq_id", "kmer"])
+
+    once = given.where(F.col("seq_id").isNotNull()).join(repeated, "seq_id", "left_anti").select("sequence").mapInArrow(held, "kmer string, n long")
+    again = T.StructType([T.StructField("seq_id", kind), T.StructField("kmer", T.StringType())])
+    several = given.join(repeated, "seq_id", "left_semi").select("seq_id", "sequence").mapInArrow(held_by, again).distinct().select("kmer", F.lit(1).cast("long").alias("n"))
+    unnamed = given.where(F.col("seq_id").isNull()).select("sequence").mapInArrow(held, "kmer string, n long").select("kmer", F.lit(0).cast("long").alias("n"))
+    counted = once.unionByName(several).unionByName(unnamed).groupBy("kmer").agg(F.sum("n").alias("n_sequences"))
+    chosen = counted.orderBy(F.col("n_sequences").desc(), "kmer").limit(top_n).collect()  # top_n rows
+    number = {r.kmer: i for i, r in enumerate(chosen)}
+    places = T.StructType([T.StructField("at", T.IntegerType()), T.StructField("p", T.IntegerType()), T.StructField("seq_id", kind)])
+
+    def placed(batches):
+        narrow = sorted((int(key[0]), i) for x, i in number.items() if (key := _kmer_keys(x, k)) is not None)
+        keys, numbers = np.array([x for x, _ in narrow], np.int64), np.array([i for _, i in narrow], np.int32)
+        for batch in batches:
+            at, p, rows = [], [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                key = _kmer_keys(text, k)
+                if key is None:
+                    found = np.array([number.get(text[i : i + k], -1) for i in range(len(text) - k + 1)], np.int32)
+                elif len(keys):
+                    near = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                    found = np.where(keys[near] == key, numbers[near], -1)
+                else:
+                    continue
+                here = np.flatnonzero(found >= 0)
+                at.append(found[here]), p.append(here + 1), rows.append(np.full(len(here), row))
+            if at:
+                ids = batch.column(0).take(pa.array(np.concatenate(rows)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(at).astype(np.int32)), pa.array(np.concatenate(p).astype(np.int32)), ids], names=places.names)
+
+    by_place = given.mapInArrow(placed, places).groupBy("at", "p").agg(F.count(F.lit(1)).alias("n"), F.min("seq_id").alias("first"))
+    found = by_place.groupBy("at").agg(
+        (F.sum(F.col("p") * F.col("n")) / F.sum("n")).alias("mean_position"),
+        F.percentile("p", F.lit(0.5), F.col("n")).alias("median_position"),
+        F.min("first").alias("representative_seq_id"),
+    )
+    named = sequences.sparkSession.createDataFrame([(i, r.kmer, r.n_sequences) for i, r in enumerate(chosen)], "at int, kmer string, n_sequences long")
+    out = found.join(F.broadcast(named), "at").select("kmer", "n_sequences", "mean_position", "median_position", "representative_seq_id")
+    return out.orderBy(F.col("n_sequences").desc(), "kmer")

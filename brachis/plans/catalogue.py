@@ -107,10 +107,9 @@ def motif_rows(spark, sf_dir):
 
 
 def kmers(spark, sf_dir):
-    rows = _table(spark, sf_dir, "documents").select("doc_id", "text", F.explode(F.sequence(F.lit(1), F.lit(40))).alias("p"))
-    rows = rows.select(F.substr("text", F.col("p"), F.lit(5)).alias("kmer"), "p", "doc_id")
-    found = rows.groupBy("kmer").agg(F.countDistinct("doc_id").alias("n_sequences"), F.round(F.avg(F.col("p").cast("double")), 6).alias("mean_p"), F.median("p").alias("med"), F.min("doc_id").alias("rep"))
-    return found.orderBy(F.col("n_sequences").desc(), "kmer").limit(50)
+    docs = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("seq_id"), F.col("text").alias("sequence"))
+    found = motifs.common_kmers(docs, 5, 50)
+    return found.select("kmer", "n_sequences", F.round("mean_position", 6).alias("mean_p"), F.col("median_position").alias("med"), F.col("representative_seq_id").alias("rep"))
 
 
 def lineage_default(spark, sf_dir):

@@ -1,4 +1,5 @@
 import json
+import statistics
 
 import pytest
 
@@ -83,3 +84,17 @@ def test_site_queries_take_whole_texts(spark, tmp_path):
     split = {r.site: r for r in catalogue.site_divergence(spark, str(tmp_path)).collect()}
     assert set(split) == set(range(1, 132))
     assert split[100].kl_bits == 0 and split[101].kl_bits > 10 and (split[110].na, split[110].nb, split[131].na) == (0, 1, 0)
+
+
+def test_kmers_of_whole_texts(spark, tmp_path):
+    texts = [(7, "x" * 60 + "hello hello"), (3, "y" * 90 + "hello"), (3, "hello"), (9, "hell"), (4, "z" * 5 + "äöü€𐍈hello"), (8, None), (None, "hello")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    places = [(t[p : p + 5], p + 1, d) for d, t in texts if t for p in range(len(t) - 4)]
+    want = {}
+    for kmer in {x for x, *_ in places}:
+        at, ids = [p for x, p, _ in places if x == kmer], {d for x, _, d in places if x == kmer} - {None}
+        want[kmer] = (len(ids), pytest.approx(sum(at) / len(at), abs=1e-6), statistics.median(at), min(ids, default=None))
+    top = sorted(want, key=lambda x: (-want[x][0], x.encode()))[:50]
+    got = catalogue.kmers(spark, str(tmp_path)).collect()
+    assert [r.kmer for r in got] == top and top[0] == "hello" and len(top) < 50
+    assert {r.kmer: (r.n_sequences, r.mean_p, r.med, r.rep) for r in got} == {x: want[x] for x in top}
