@@ -33,13 +33,17 @@ def conversations_of(turns: DataFrame, id_col: str = "conv_id", turn_col: str =
 def first_turn_pairs(conversations: DataFrame) -> DataFrame:
     """(pair_id, chosen_id, rejected_id): conversations in the order of their first turn's digest and id, two by two.
 
-    Conversations that begin alike are thus each other's partners, the smaller id being the chosen one. The order is made
-    by range partitions, so a first turn that very many share is spread by the id.
+    Conversations that begin alike are each other's partners, the smaller id being the chosen one; the last of an odd number
+    goes behind all groups, where such are paired in the same order. The order is made by range partitions, so a first turn
+    that very many share is spread by the id.
     """
     from .mixing import ranked
 
     key = F.md5(F.concat(F.col("turns")[0]["role"], F.lit("\x1f"), F.col("turns")[0]["text"]).cast("binary"))
-    placed = ranked(conversations.select(key.alias("key"), "conv_id"), "key", "conv_id")
+    keyed = stage_table(conversations.select(key.alias("key"), "conv_id"), "first-turns")
+    odd = keyed.groupBy("key").agg(F.max("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n")).where(F.col("n") % 2 == 1)
+    left = keyed.join(odd.select("conv_id", F.lit(True).alias("left")), "conv_id", "left").withColumn("left", F.col("left").isNotNull())
+    placed = ranked(stage_table(left, "odd-ones"), "left", "key", "conv_id")
     pair = F.floor(F.col("rank") / 2).alias("pair_id")
     side = placed.select(pair, (F.col("rank") % 2).alias("side"), "conv_id")
     pick = lambda k: F.max(F.when(F.col("side") == k, F.col("conv_id")))

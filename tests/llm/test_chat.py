@@ -46,5 +46,17 @@ def test_partners_begin_alike(spark):
     assert chat.preferences(turns.limit(0)).count() == 0
 
 
+def test_odd_groups_lose_no_pair(spark):
+    sizes = [1, 2, 3, 5, 2, 1, 7, 4, 1, 6, 3, 2]
+    groups = [g for g, n in enumerate(sizes) for _ in range(n)]
+    rows = [((c * 23) % 37, 0, "user", f"start {g}") for c, g in enumerate(groups)]
+    begins = {c: t for c, _, _, t in rows}
+    got = chat.preferences(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)).collect()
+    assert sorted(c for r in got for c in (r.chosen_id, r.rejected_id) if c is not None) == sorted(begins)
+    assert sorted(r.pair_id for r in got) == list(range(19))
+    assert sum(r.prompt_turns == 1 for r in got) == sum(n // 2 for n in sizes)
+    assert all((r.prompt_turns == 1) == (begins.get(r.rejected_id) == begins[r.chosen_id]) for r in got)
+
+
 def test_query_equals_oracle(spark):
     assert compare(spark, "/root/testdata/sf0.001", "op1", queries.op1_chat_format, queries.ORACLE_SQL["op1_chat_format"]) > 0
