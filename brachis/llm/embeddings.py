@@ -2,8 +2,11 @@
 
 A pass gives each vector a code of concatenated random hyperplane signs, orders all vectors lexicographically by it (a
 range partitioned sort), and compares each with a bounded window of its predecessors; verified pairs of all passes are
-united by distributed connected components. The number of passes follows from the number of vectors so that a pair right
-at the threshold meets in some pass with probability ``recall``. Exact copies are one vector with a count from the start.
+united by distributed connected components. The first passes follow from the number of vectors as if these were spread
+evenly. Each pass then tells, by how long a prefix a vector shares with those ``window`` places away and by its distances
+from the planes, how probably a partner right at the threshold was met. Vectors that may have missed one with more than
+1 - ``recall`` get further passes among themselves, or are compared all with all, tile by tile, where that is less work: of
+an unmet pair both are such. A window full of vectors that a vector is linked with hides nothing. Exact copies are one vector with a count from the start.
 Windows cannot hold a large group, so the links within each component are then completed without pairs. Its core, the
 vectors within half the threshold's angle of its first one, are all linked with each other (angles add up at most), so
 their links are a count; the rest is compared with the whole component, tile by tile, and only counts leave the tiles. A
@@ -32,7 +35,12 @@ WINDOW = 48
 RECALL = 0.99
 BITS = 60
 TILE = 2_048
+#: Vectors whose comparison with one vector costs about what a vector's pass costs, and those that one task compares.
+PASS_COST = 5_000
+EXACT_TILE = 16_384
 _SEED = 1_009
+_GRID = np.linspace(0, 8, 4_097)
+_LOG_AGREE = np.log([0.5 + 0.5 * math.erf(z / math.sqrt(2)) for z in _GRID])
 
 
 def passes_for(n: int, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> int:
@@ -74,12 +82,16 @@ def _by_length(size: np.ndarray) -> list[np.ndarray]:
     return [np.flatnonzero(size == x) for x in np.unique(size)]
 
 
-def _codes(units: DataFrame, passes: int) -> DataFrame:
+def _planes(d: int, number: int) -> np.ndarray:
+    return np.random.default_rng([_SEED, d, number]).standard_normal((d, BITS))
+
+
+def _codes(units: DataFrame, passes: range) -> DataFrame:
     kind = units.schema["rep"].dataType
     schema = T.StructType([T.StructField("size", T.IntegerType()), T.StructField("pass", T.IntegerType()), T.StructField("code", T.LongType()), T.StructField("rep", kind), T.StructField("unit", T.BinaryType())])
 
     def run(batches):
-        planes: dict[int, np.ndarray] = {}
+        planes: dict[tuple[int, int], np.ndarray] = {}
         weights = np.int64(1) << np.arange(BITS - 1, -1, -1, dtype=np.int64)
         for batch in batches:
             size = np.array([len(x) for x in batch.column(1).to_pylist()], np.int32)
@@ -87,11 +99,11 @@ def _codes(units: DataFrame, passes: int) -> DataFrame:
                 some = batch.take(pa.array(rows))
                 x = _matrix(some.column(1))
                 d = x.shape[1]
-                if d not in planes:
-                    planes[d] = np.random.default_rng([_SEED, d]).standard_normal((passes, d, BITS))
                 n = len(rows)
-                for p in range(passes):
-                    code = (x @ planes[d][p] > 0) @ weights
+                for p in passes:
+                    if (d, p) not in planes:
+                        planes[d, p] = _planes(d, p)
+                    code = (x @ planes[d, p] > 0) @ weights
                     yield pa.RecordBatch.from_arrays([pa.array(size[rows]), pa.array(np.full(n, p, np.int32)), pa.array(code), *some.columns], names=schema.names)
 
     return units.select("rep", "unit").mapInArrow(run, schema)
@@ -116,36 +128,128 @@ def _span(pairs: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[int], list[i
     return a, b
 
 
+def _log_miss(x: np.ndarray, planes: np.ndarray, prefix: np.ndarray, threshold: float) -> np.ndarray:
+    """Log probability that a partner at the threshold, in a random direction from x, differs in the first prefix + 1 bits."""
+    apart = np.abs(x @ planes) * (threshold / math.sqrt(1 - threshold * threshold))
+    agree = np.cumsum(np.interp(apart, _GRID, _LOG_AGREE), axis=1)
+    met = np.where(prefix < 0, 1.0, np.exp(agree[np.arange(len(x)), np.clip(prefix, 0, BITS - 1)]))
+    return np.log1p(-np.minimum(np.where(prefix >= BITS, 0.0, met), 1 - 1e-12))
+
+
 def window_links(codes: DataFrame, threshold: float, window: int) -> DataFrame:
-    """(src, dst) links among rows at most ``window`` apart in the order of their pass."""
+    """(src, dst, miss): links among rows at most ``window`` apart in the order of their pass; without dst, the log
+    probability that src missed a partner in a pass. Rows at the edge of a partition are not counted as having had a pass."""
     kind = codes.schema["rep"].dataType
-    schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind)])
+    schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind), T.StructField("miss", T.DoubleType())])
     parts = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["size", "pass", "code", "rep"]
 
     def run(batches):
-        held = None
-        for batch in batches:
-            batch = pa.RecordBatch.from_arrays([batch.column(k) for k in (0, 1, 3, 4)], names=["size", "pass", "rep", "unit"])
-            if held is not None:
-                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        planes: dict[tuple[int, int], np.ndarray] = {}
+
+        def step(batch, told: int, upto: int):
+            """Links of a stretch of rows, and what the passes of its rows from ``told`` to ``upto`` were worth."""
+            total = batch.num_rows
             group = batch.column(0).to_numpy().astype(np.int64) * 1_000_000 + batch.column(1).to_numpy()
-            pairs = []
+            pairs, rated, worth = [], [], []
             for rows in _by_length(group):  # contiguous, as the rows are sorted
-                x = _matrix(batch.column(3).slice(rows[0], len(rows)))
-                for away in range(1, min(window, len(rows) - 1) + 1):
-                    hit = np.flatnonzero(np.einsum("ij,ij->i", x[away:], x[:-away]) >= threshold)
+                x, code, n = _matrix(batch.column(4).slice(rows[0], len(rows))), batch.column(2).slice(rows[0], len(rows)).to_numpy(), len(rows)
+                far = np.full(n, -1)  # bits shared with the unlinked rows ``window`` places before and after
+                for away in range(1, min(window, n - 1) + 1):
+                    dots = np.einsum("ij,ij->i", x[away:], x[:-away])
+                    hit = np.flatnonzero(dots >= threshold)
                     if len(hit):
                         pairs.append((rows[hit + away], rows[hit]))
+                    if away == window:
+                        shared = BITS - np.frexp((code[away:] ^ code[:-away]).astype(np.float64))[1]
+                        shared = np.where(dots >= threshold, -1, shared)
+                        far[away:] = shared
+                        far[:-away] = np.maximum(far[:-away], shared)
+                if rows[0] == 0:
+                    far[: max(0, window)] = BITS  # rows before them may be in another partition
+                if rows[-1] == total - 1:
+                    far[max(0, n - window) :] = BITS
+                lo, hi = max(told - rows[0], 0), min(upto - rows[0], n)
+                if lo < hi:
+                    key = x.shape[1], int(batch.column(1)[int(rows[0])].as_py())
+                    if key not in planes:
+                        planes.clear()
+                        planes[key] = _planes(*key)
+                    rated.append(rows[lo:hi])
+                    worth.append(_log_miss(x[lo:hi], planes[key], far[lo:hi], threshold))
             a, b = _span(pairs)
-            if a:
-                ids = batch.column(2)
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(a)), ids.take(pa.array(b))], names=schema.names)
-            held = batch.slice(max(0, batch.num_rows - window))
+            ids, at = batch.column(3), np.concatenate([np.empty(0, np.int64), *rated])
+            left = pa.concat_arrays([ids.take(pa.array(a, pa.int64())), ids.take(pa.array(at))])
+            right = pa.concat_arrays([ids.take(pa.array(b, pa.int64())), pa.nulls(len(at), ids.type)])
+            return pa.RecordBatch.from_arrays([left, right, pa.concat_arrays([pa.nulls(len(a), pa.float64()), pa.array(np.concatenate([np.empty(0), *worth]))])], names=schema.names)
+
+        held, told = None, 0
+        for batch in batches:
+            batch = pa.RecordBatch.from_arrays([batch.column(k) for k in (0, 1, 2, 3, 4)], names=["size", "pass", "code", "rep", "unit"])
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            upto = max(told, batch.num_rows - window)
+            yield step(batch, told, upto)
+            cut = max(0, batch.num_rows - 2 * window)
+            held, told = batch.slice(cut), upto - cut
+        if held is not None:
+            yield step(held, told, held.num_rows)
 
     return codes.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, schema)
 
 
+def exact_links(units: DataFrame, n: int, threshold: float, tile: int = EXACT_TILE) -> DataFrame:
+    """(src, dst) links that join what all pairs of the ``n`` rows of ``units(rep, unit)`` join: each task compares two tiles."""
+    kind = units.schema["rep"].dataType
+    schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind)])
+    tiles = max(1, -(-n // tile))
+    home = F.pmod(F.xxhash64("unit"), F.lit(tiles)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
+    met = units.select(F.octet_length("unit").alias("size"), home.alias("home"), other.alias("other"), "rep", "unit")
+    met = met.select("size", F.least("home", "other").alias("low"), F.greatest("home", "other").alias("high"), "home", "rep", "unit")
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        own = table["home"].to_numpy()
+        ids, x = table["rep"].combine_chunks(), _matrix(table["unit"].combine_chunks())
+        left, right = np.flatnonzero(own == table["low"][0].as_py()), np.flatnonzero(own == table["high"][0].as_py())
+        a, b = [], []
+        y = x[right]
+        for lo in range(0, len(left), 512):
+            i, j = np.nonzero(x[left[lo : lo + 512]] @ y.T >= threshold)
+            i, j = left[lo + i], right[j]
+            one, two = _span([(i[i != j], j[i != j])])
+            a += one
+            b += two
+        return pa.table([ids.take(pa.array(a, pa.int64())), ids.take(pa.array(b, pa.int64()))], names=schema.names)
+
+    return met.groupBy("size", "low", "high").applyInArrow(run, schema)
+
+
+def all_links(classes: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL) -> DataFrame:
+    """(src, dst): links of ``classes(rep, unit)`` by passes, until no vector may have missed one by more than ``recall`` allows."""
+    allowed = math.log(1 - recall)
+    pending, n, done, links = classes.select("rep", "unit", F.lit(0.0).alias("miss")), classes.count(), 0, None
+    more = passes_for(n, threshold, window, recall)
+    while True:
+        found = stage_table(window_links(_codes(pending, range(done, done + more)), threshold, window), "window-links")
+        done += more
+        new = found.where("dst is not null").select("src", "dst")
+        links = new if links is None else links.unionByName(new)
+        miss = found.where("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("miss").alias("passed"))
+        total = F.col("miss") + F.coalesce("passed", F.lit(0.0))
+        after = stage_table(pending.join(miss, "rep", "left").select("rep", "unit", total.alias("miss")).where(F.col("miss") > allowed), "pending-units")
+        drop_table(pending)
+        pending = after
+        n, mean = pending.agg(F.count(F.lit(1)), F.avg("miss")).first()
+        if not n:
+            return links
+        needed = max(1.0, (mean - allowed) / max(-mean / done, 1e-9))
+        if n <= 2 * PASS_COST * needed:
+            return links.unionByName(exact_links(pending, n, threshold))
+        more = min(passes_for(n, threshold, window, recall), math.ceil(needed))
+
+
 def with_core(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``members(component, rep, n, unit)`` with ``core``: whether a vector is so near to its component's first that all such
     are linked with each other. A margin far above rounding errors keeps doubtful ones out."""
@@ -230,8 +334,7 @@ def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, window: int
     fit = F.col("unit").isNotNull() & F.col("vec_id").isNotNull()
     classes = stage_table(units.where(fit).groupBy("unit").agg(F.min(F.struct("vec_id", F.xxhash64("unit").alias("h"))).alias("rep"), F.count(F.lit(1)).alias("n")), "unit-classes")
     # a representative is known by its id and a hash of its vector, as rows of one id may hold different vectors
-    passes = passes_for(classes.count(), threshold, window, recall)
-    roots = connected_components(window_links(_codes(classes, passes), threshold, window))
+    roots = connected_components(all_links(classes, threshold, window, recall))
     roots = stage_table(roots.select(F.col("node").alias("rep"), "component"), "roots")
     members = stage_table(with_core(classes.join(roots, "rep"), threshold), "linked-units")
     links = component_links(members, threshold)

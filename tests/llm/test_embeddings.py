@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -55,5 +57,19 @@ def test_passes_grow_slowly():
     assert embeddings.passes_for(100) <= embeddings.passes_for(10**5) <= embeddings.passes_for(10**9) < 100
 
 
+def test_pairs_in_a_hot_cone_are_found(spark):
+    rng = np.random.default_rng(3)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    axis = unit(rng.normal(size=64))
+    hot = unit(math.sqrt(0.85) * axis + math.sqrt(0.15) * unit(rng.normal(size=(16_000, 64))))
+    side = rng.normal(size=(200, 64))
+    side = unit(side - (side * hot[:200]).sum(1, keepdims=True) * hot[:200])
+    twins = 0.955 * hot[:200] + math.sqrt(1 - 0.955**2) * side
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([hot, twins, rng.normal(size=(4_000, 64))]))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r.component_id for r in embeddings.near_duplicates(table).where("vec_id < 16200").collect()}
+    assert sum(got[k] == got[16_000 + k] for k in range(200)) >= 198
+
+
 def test_query_equals_oracle(spark):
     assert compare(spark, "/root/testdata/sf0.001", "op4", queries.op4_embedding_dedup, queries.ORACLE_SQL["op4_embedding_dedup"]) == 500
