@@ -13,6 +13,7 @@ doc_id stand in the order of their texts, null ids after all others.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -230,7 +231,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack: float
     Documents with equal signatures are one class from the start and one of them stands for it. Signature bands bring
     representatives to shared buckets; a bucket is compared part by part, members streaming past the part in memory, and
     gives a spanning forest of the pairs whose signatures agree within ``slack`` of the threshold. Each such link is then
-    verified on the exact shingle sets. Rows with a null id are left out.
+    verified on the exact shingle sets. As links that fail may have stood for pairs that would not, the buckets are compared
+    once more and give all such pairs that the verified links do not join, which are verified too. Rows with a null id are left out.
     """
     least = int(np.ceil((threshold - slack) * PERMUTATIONS))
     given = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -244,44 +246,60 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack: float
     shared = shared.select("band", "key", F.ceil(F.col("n") / sub_tile).cast("int").alias("subs"))
     met = keys.join(shared, ["band", "key"]).withColumn("home", F.pmod(F.xxhash64("rep"), F.col("subs").cast("long")).cast("int"))
     met = met.select("band", "key", F.explode(F.sequence("home", F.col("subs") - 1)).alias("sub"), "home", "rep").join(rep, "rep")
-    met = met.select("band", "key", "sub", "home", "rep", "signature")
+    met = stage_table(met.select("band", "key", "sub", "home", "rep", "signature"), "minhash-buckets")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = met.withColumn("visits", F.col("sub") != F.col("home")).drop("home").repartition(parts, "band", "key", "sub")
     kind = given.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind)])
 
-    def run(batches):
-        key, ids, rows, settled = None, [], [], False
-        for batch in batches:
-            src, dst = [], []
-            columns = [batch.column(k).to_pylist() for k in (0, 1, 2, 5, 3, 4)]
-            for band, bucket, sub, visits, node, signature in zip(*columns, strict=True):
-                if (band, bucket, sub) != key:
-                    if ids and not settled:
-                        for v, w in _forest(np.array(rows), least):
-                            src.append(ids[v]), dst.append(ids[w])
-                    key, ids, rows, settled = (band, bucket, sub), [], [], False
-                value = np.frombuffer(signature, ">u2")
-                if not visits:
-                    ids.append(node), rows.append(value)
-                    continue
-                if not settled:
-                    rows = np.array(rows)
-                    for v, w in _forest(rows, least):
-                        src.append(ids[v]), dst.append(ids[w])
-                    settled = True
-                if len(ids):
-                    for v in np.flatnonzero((rows == value).sum(1) >= least):
-                        src.append(node), dst.append(ids[v])
-            if src:
-                yield pa.RecordBatch.from_arrays([pa.array(src), pa.array(dst)], schema=pa.schema([("src", pa.array(src).type), ("dst", pa.array(dst).type)]))
-        if ids and not settled:
-            links = list(_forest(np.array(rows), least))
-            if links:
-                yield pa.RecordBatch.from_arrays([pa.array([ids[v] for v, _ in links]), pa.array([ids[w] for _, w in links])], names=["src", "dst"])
-
-    links = dealt.sortWithinPartitions("band", "key", "sub", "visits").mapInArrow(run, schema)
-    links = stage_table(links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct(), "minhash-links")
+    def candidates(thin: bool):
+        """Of each bucket a spanning forest of its likely pairs, or all of them between different classes."""
+
+        def within(ids, rows, classes):
+            if thin:
+                yield from ((ids[v], ids[w]) for v, w in _forest(rows, least))
+                return
+            for v in range(len(rows) - 1):
+                for w in np.flatnonzero((rows[v + 1 :] == rows[v]).sum(1) >= least) + v + 1:
+                    if classes[v] != classes[w]:
+                        yield ids[v], ids[w]
+
+        def found(batches):
+            key, ids, rows, classes, settled = None, [], [], [], True
+            for batch in batches:
+                columns = [batch.column(k).to_pylist() for k in range(7)]
+                for band, bucket, sub, visits, node, signature, own in zip(*columns, strict=True):
+                    if (band, bucket, sub) != key:
+                        if not settled:
+                            yield from within(ids, np.array(rows), classes)
+                        key, ids, rows, classes, settled = (band, bucket, sub), [], [], [], False
+                    value = np.frombuffer(signature, ">u2")
+                    if not visits:
+                        ids.append(node), rows.append(value), classes.append(own)
+                        continue
+                    if not settled:
+                        rows = np.array(rows)
+                        yield from within(ids, rows, classes)
+                        settled = True
+                    if len(ids):
+                        for v in np.flatnonzero((rows == value).sum(1) >= least):
+                            if thin or classes[v] != own:
+                                yield node, ids[v]
+            if not settled:
+                yield from within(ids, np.array(rows), classes)
+
+        def run(batches):
+            pairs = found(batches)
+            while some := list(itertools.islice(pairs, 100_000)):
+                src, dst = (pa.array(side) for side in zip(*some, strict=True))
+                yield pa.RecordBatch.from_arrays([src, dst], names=["src", "dst"])
+
+        return run
+
+    def likely(classed: DataFrame, thin: bool) -> DataFrame:
+        dealt = classed.withColumn("visits", F.col("sub") != F.col("home")).select("band", "key", "sub", "visits", "rep", "signature", "class")
+        dealt = dealt.repartition(parts, "band", "key", "sub").sortWithinPartitions("band", "key", "sub", "visits")
+        links = dealt.mapInArrow(candidates(thin), schema)
+        return links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
     def sets(batches):
         for batch in batches:
@@ -290,14 +308,23 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack: float
             cuts = np.cumsum(n) - n
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.unique(hashes[c : c + m]).astype(np.int64) for c, m in zip(cuts, n, strict=True)], pa.list_(pa.int64()))], names=["doc_id", "shingles"])
 
-    ends = links.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
     set_schema = T.StructType([T.StructField("doc_id", kind), T.StructField("shingles", T.ArrayType(T.LongType()))])
-    shingles = given.join(ends, "doc_id", "left_semi").mapInArrow(sets, set_schema)
-    a, b = shingles.select(F.col("doc_id").alias("src"), F.col("shingles").alias("sa")), shingles.select(F.col("doc_id").alias("dst"), F.col("shingles").alias("sb"))
-    both = F.size(F.array_intersect("sa", "sb"))
-    whole = F.size("sa") + F.size("sb") - both
-    sure = links.join(a, "src").join(b, "dst").where((whole == 0) | (both / whole >= threshold)).select("src", "dst")
+
+    def verified(links: DataFrame) -> DataFrame:
+        ends = links.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
+        shingles = given.join(ends, "doc_id", "left_semi").mapInArrow(sets, set_schema)
+        a, b = shingles.select(F.col("doc_id").alias("src"), F.col("shingles").alias("sa")), shingles.select(F.col("doc_id").alias("dst"), F.col("shingles").alias("sb"))
+        both = F.size(F.array_intersect("sa", "sb"))
+        whole = F.size("sa") + F.size("sb") - both
+        return links.join(a, "src").join(b, "dst").where((whole == 0) | (both / whole >= threshold)).select("src", "dst")
+
+    links = stage_table(likely(met.withColumn("class", F.col("rep")), True), "minhash-links")
+    sure = stage_table(verified(links), "sure-links")
     roots = connected_components(sure)
-    drop_table(links)
+    classed = met.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class", F.coalesce("component", "rep"))
+    rest = stage_table(likely(classed, False).join(links, ["src", "dst"], "left_anti"), "minhash-rest")
+    roots = connected_components(sure.unionByName(verified(rest)))
+    for table in (links, rest, met):
+        drop_table(table)
     member = rep.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("signature", F.coalesce("component", "rep").alias("class_id"))
     return signed.join(member, "signature").select("doc_id", "class_id")

@@ -70,3 +70,33 @@ def test_near_duplicates(spark, words):
     for tile in (1, 4096):
         got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, sub_tile=tile).collect()}
         assert got == want
+
+
+def test_pairs_inside_boilerplate_groups(spark, words):
+    rng = np.random.default_rng(5)
+    base = [f"b{k}" for k in range(600)]
+
+    def edited(slots, tag):
+        out = list(base)
+        for s in slots:
+            out[5 * s + 2] = f"{tag}-{s}"
+        return " ".join(out)
+
+    rows = [(k, edited(rng.choice(120, 8, replace=False), k)) for k in range(200)]
+    pairs = []
+    for k in range(40):  # eight edits each, three of them common: 0.845 to each other, about 0.77 to all others
+        slots = rng.choice(120, 13, replace=False)
+        for side, own in ((0, slots[:8]), (1, np.concatenate([slots[:3], slots[8:]]))):
+            rows.append((1000 + 2 * k + side, edited(own, f"p{k}")))
+        pairs.append((1000 + 2 * k, 1001 + 2 * k))
+    known = {k: shingles(t) for k, t in rows}
+    assert all(jaccard(known[a], known[b]) >= 0.8 for a, b in pairs)
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [(a, b) for a, b in pairs if got[a] != got[b]] == []
+    group = {k: k for k in known}
+    for a in known:
+        for b in known:
+            if a < b and jaccard(known[a], known[b]) >= 0.8 and group[a] != group[b]:
+                low, high = sorted((group[a], group[b]))
+                group = {k: low if g == high else g for k, g in group.items()}
+    assert all(group[a] == group[got[a]] for a in known)  # nothing is joined without such links
