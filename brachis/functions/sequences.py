@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,11 +53,36 @@ def residue(character: Column) -> Column:
     return F.when(~character.isin(*GAPS) & upper.isin(*RESIDUES), upper)
 
 
+def find_all(text: str, motif: str) -> list[int]:
+    """All 0-based starts of a motif, overlapping ones too, in time linear in the text; an empty motif stands everywhere."""
+    if not motif:
+        return list(range(len(text) + 1))
+    out, at = [], text.find(motif)
+    while at >= 0:
+        out.append(at)
+        at = text.find(motif, at + 1)
+    return out
+
+
 def motif_positions(sequence: Column, motif: Column) -> Column:
-    """All 0-based starts of a motif, overlapping ones too; case counts."""
-    last = F.length(sequence) - F.length(motif)
-    starts = F.when(last >= 0, F.sequence(F.lit(0), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<int>"))
-    return F.filter(starts, lambda i: F.substr(sequence, i + 1, F.length(motif)) == motif)
+    """All 0-based starts of a motif, overlapping ones too; case counts. Null where either is null."""
+
+    @F.arrow_udf("array<int>")
+    def run(texts: pa.Array, wanted: pa.Array) -> pa.Array:
+        both = zip(texts.to_pylist(), wanted.to_pylist(), strict=True)
+        return pa.array([None if t is None or m is None else find_all(t, m) for t, m in both], pa.list_(pa.int32()))
+
+    return run(sequence, motif)
+
+
+def motif_starts(sequence: Column, motifs: list[str]) -> Column:
+    """``motif_positions`` of every motif in one pass: an array with one array of starts a motif."""
+
+    @F.arrow_udf("array<array<int>>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else [find_all(t, m) for m in motifs] for t in texts.to_pylist()], pa.list_(pa.list_(pa.int32())))
+
+    return run(sequence)
 
 
 def kmer_at(sequence: Column, position: Column, k: int = 5) -> Column:

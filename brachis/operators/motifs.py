@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.identifiers import lineage_kind
-from ..functions.sequences import for_discovery, for_motifs, kmer_at, motif_positions, raw_position, resample
+from ..functions.sequences import for_discovery, for_motifs, kmer_at, motif_starts, raw_position, resample
 
 POINTS = 500
 
@@ -65,7 +65,9 @@ def score_motifs(sequences: DataFrame, motifs: list[str], clusters: DataFrame |
     without an attention. ``clusters(seq_id, clade_id)``: empty string where there is none.
     """
     clean = sequences.withColumn("clean", for_motifs(F.col("sequence"))).where(F.length("clean") >= least)
-    rows = clean.withColumn("motif", F.explode(F.array(*map(F.lit, motifs)))).withColumn("at", motif_positions(F.col("clean"), F.col("motif")))
+    found = clean.withColumn("found", motif_starts(F.col("clean"), motifs))
+    named = F.arrays_zip(F.array(*map(F.lit, motifs)).alias("motif"), F.col("found").alias("at"))
+    rows = found.withColumn("each", F.explode(named)).withColumns({"motif": F.col("each.motif"), "at": F.col("each.at")}).drop("each", "found", "clean")
     score = motif_scores(F.col("attention"), F.col("at"), F.length("motif"), layers) if "attention" in sequences.columns else F.lit(None).cast("double")
     rows = rows.withColumn("present", F.size("at") > 0).withColumn("score", score)
     rows = rows.select("hmm", "seq_id", "motif", F.explode(F.when(F.col("present"), F.col("at")).otherwise(F.array(F.lit(-1)))).alias("start_pos"), "present", "score")

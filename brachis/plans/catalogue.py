@@ -235,7 +235,7 @@ _HITS = "h AS (SELECT l_suppkey genome, l_partkey protein, concat(l_returnflag,l
 _LINEAGE = "SELECT s_suppkey k, concat('d__',r_name,';p__',n_name) lin FROM supplier JOIN nation ON s_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey WHERE r_name<>'AFRICA'"
 _BEST = f"WITH {_HITS}, r AS (SELECT *, row_number() OVER w rn, lead(bitscore) OVER w nx FROM h WHERE coverage>=0.5 AND bitscore>=25 WINDOW w AS (PARTITION BY genome,protein ORDER BY bitscore DESC, hmm, ok, ln, sd, evalue, coverage))"
 _SITES = """al AS (SELECT unnest(string_split('A,C,D,E,F,G,H,I,K,L,M,N,P,Q,R,S,T,V,W,Y',',')) a),
-x AS (SELECT doc_id, lang, upper(substr(text,s,1)) aa, s site FROM (SELECT doc_id,lang,text,unnest(range(1,61)) s FROM documents))"""
+x AS (SELECT doc_id, lang, upper(substr(text,s,1)) aa, s site FROM (SELECT doc_id,lang,text,unnest(range(1,length(text)+1)) s FROM documents))"""
 
 QUERIES = {
     "flagship": flagship,
@@ -284,7 +284,7 @@ SELECT site, round(sum((pn+1e-6)/(pt+2e-5)*log2(((pn+1e-6)/(pt+2e-5))/((qn+1e-6)
     "q6_clade_dispersion": """WITH x AS (SELECT vec_id,label,unnest(range(len(embedding))) j,cast(unnest(embedding) as double) v FROM embeddings), ce AS (SELECT label,j,avg(v) m FROM x GROUP BY label,j), dd AS (SELECT x.label,x.vec_id,sqrt(sum((v-m)*(v-m))) d FROM x JOIN ce ON x.label=ce.label AND x.j=ce.j GROUP BY x.label,x.vec_id)
 SELECT label, count(*) n, round(avg(d),6) mean_d, round(median(d),6) median_d FROM dd GROUP BY label HAVING count(*)>=3""",
     "q7_motif_places": "SELECT doc_id, i-1 start_pos, i+1 end_pos FROM (SELECT doc_id, lower(text) s, unnest(range(1,greatest(length(text),1)+1)) i FROM documents) WHERE substr(s,i,2)='th'",
-    "q8_kmers": "SELECT k kmer, count(distinct doc_id) n_sequences, round(avg(cast(p as double)),6) mean_p, median(p) med, min(doc_id) rep FROM (SELECT doc_id,p,substr(text,p,5) k FROM (SELECT doc_id,text,unnest(range(1,41)) p FROM documents)) GROUP BY k ORDER BY n_sequences DESC,kmer LIMIT 50",
+    "q8_kmers": "SELECT k kmer, count(distinct doc_id) n_sequences, round(avg(cast(p as double)),6) mean_p, median(p) med, min(doc_id) rep FROM (SELECT doc_id,p,substr(text,p,5) k FROM (SELECT doc_id,text,unnest(range(1,length(text)-3)) p FROM documents)) GROUP BY k ORDER BY n_sequences DESC,kmer LIMIT 50",
     "q9_lineage_default": f"SELECT l.l_orderkey,l.l_linenumber,l.l_suppkey,l.l_partkey,coalesce(t.lin,'Unknown') taxonomy FROM lineitem l LEFT JOIN ({_LINEAGE}) t ON l.l_suppkey=t.k",
     "q10_ordered_letters": "SELECT conv_id, string_agg(substr(role,1,1),'' ORDER BY turn) seq FROM conversations GROUP BY conv_id",
     "q11_source_priority": f"WITH {_HITS}, u AS (SELECT 0 src,* FROM h WHERE coverage>=0.5 UNION ALL SELECT 1 src,* FROM h WHERE bitscore>=100), r AS (SELECT *,row_number() OVER (PARTITION BY genome,protein,hmm ORDER BY src,ok,ln,sd,evalue,coverage,bitscore) rn FROM u) SELECT genome,protein,hmm,src,bitscore FROM r WHERE rn=1",

@@ -150,6 +150,16 @@ def test_cds_matching(spark):
     assert [r.tip for r in codon.codon_subset(codon.clean_alignment(alignment), codon.match_cds(tips, cds)).collect()] == ["g|abc", "g|p2", "g|p1"]
 
 
+def test_motif_search(spark):
+    text = "aßaaßa th" * 3
+    assert seq.find_all(text, "aa") == [i for i in range(len(text)) if text.startswith("aa", i)]
+    assert seq.find_all("aaa", "aa") == [0, 1] and seq.find_all("a", "aa") == [] and seq.find_all("", "a") == [] and seq.find_all("ab", "") == [0, 1, 2]
+    found = one(spark, seq.motif_starts(F.lit("ßaßaß"), ["ßaß", "x", "ßaßaßa"]), seq.motif_positions(F.lit(None).cast("string"), F.lit("a")))
+    assert found == ([[0, 2], [], []], None)
+    long = spark.range(1).select(F.size(seq.motif_positions(F.repeat(F.lit("ath ßx th"), 120_000), F.lit("th"))))
+    assert long.first()[0] == 240_000  # over a million characters
+
+
 def features(spark):
     rows = [("f", k, "c1" if k < 3 else "c2", 10 * k, 10 * k + 5, 1, {"ID": [f"p{k}"], "product": [f"n{k}"]}) for k in range(6)]
     return frame(spark, rows, "file string, ord long, contig string, start int, end int, strand int, attributes map<string, array<string>>")
