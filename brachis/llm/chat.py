@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage_table
+from .common import ranked, stage_table
 
 LEARNED = "assistant"
 END = "<|end|>\n"
@@ -37,8 +37,6 @@ def first_turn_pairs(conversations: DataFrame) -> DataFrame:
     goes behind all groups, where such are paired in the same order. The order is made by range partitions, so a first turn
     that very many share is spread by the id.
     """
-    from .mixing import ranked
-
     key = F.md5(F.concat(F.col("turns")[0]["role"], F.lit("\x1f"), F.col("turns")[0]["text"]).cast("binary"))
     keyed = stage_table(conversations.select(key.alias("key"), "conv_id"), "first-turns")
     odd = keyed.groupBy("key").agg(F.max("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n")).where(F.col("n") % 2 == 1)

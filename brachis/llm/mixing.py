@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, drop_table, stage_table
+from .common import WORD_PATTERN, drop_table, ranked, stage_table
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -30,20 +30,6 @@ def n_words(text):
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")
 
 
-def ranked(df: DataFrame, *order, per_task: int = 100_000) -> DataFrame:
-    """``df`` with ``rank`` from 0 in the given order, by range partitions and their counts instead of one sorted task."""
-    parts = max(1, -(-df.count() // per_task))
-    dealt = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    place = F.monotonically_increasing_id()
-    kept = stage_table(dealt.select("*", F.shiftright(place, 33).alias("_part"), place.bitwiseAND(F.lit((1 << 33) - 1)).alias("_at")), "ranked")
-    before, table = 0, []
-    for part, n in sorted(tuple(r) for r in kept.groupBy("_part").count().collect()):  # one row a range partition
-        table.append((part, before))
-        before += n
-    offsets = df.sparkSession.createDataFrame(table, "_part long, _before long")
-    return kept.join(F.broadcast(offsets), "_part").withColumn("rank", F.col("_at") + F.col("_before")).drop("_part", "_at", "_before")
-
-
 def source_targets(sources: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, epochs: float = EPOCHS) -> DataFrame:
     """(source, source_size, target) of ``sources(source, source_size)`` by capped water-filling; weights repeat in order."""
     placed = ranked(sources, F.col("source").asc_nulls_last())
