@@ -4,9 +4,13 @@ The longest common prefix of turns (role and text both equal) is rendered as the
 its completion, with a mask: segments of code points, ``length:1`` where they are to be learned (the text and end mark of
 assistant turns) and ``length:0`` elsewhere (role headers, other roles).
 
+Conversations that begin with the same turn are partners. One without a partner is given a rejected side: its own turns up
+to its last assistant turn, in whose place stands that of another conversation without a partner.
+
 Defined results: null roles and texts are empty; turns stand by turn, role and text, null turns first, repeated rows are
 repeated turns; rows with a null conv_id belong to no conversation and are left out; equal conversations have empty
-completions; a pair without common turns has an empty prompt; a conversation without a partner has null rejected columns.
+completions; a pair without common turns has an empty prompt; a conversation without a partner that has no assistant turn,
+or is the only one that has, has null rejected columns and an empty prompt.
 A conversation is one row of the result, so it has to fit in one; nothing larger is ever gathered.
 """
 
@@ -30,22 +34,34 @@ def conversations_of(turns: DataFrame, id_col: str = "conv_id", turn_col: str =
     return given.groupBy("conv_id").agg(F.transform(ordered, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
 
 
-def first_turn_pairs(conversations: DataFrame) -> DataFrame:
-    """(pair_id, chosen_id, rejected_id): conversations in the order of their first turn's digest and id, two by two.
+def first_turn_pairs(conversations: DataFrame, learned: str = LEARNED) -> DataFrame:
+    """(pair_id, chosen_id, rejected_id, derived): every conversation in one pair.
 
-    Conversations that begin alike are each other's partners, the smaller id being the chosen one; the last of an odd number
-    goes behind all groups, where such are paired in the same order. The order is made by range partitions, so a first turn
-    that very many share is spread by the id.
+    Conversations in the order of their first turn's digest and id are paired two by two inside a group of one first turn,
+    the smaller id being the chosen one. The last of an odd number is chosen in a pair of its own; with ``derived`` its
+    rejected_id is the next one of those that has a turn of ``learned``, whose last such turn is to be put in. The order is
+    made by range partitions, so a first turn that very many share is spread by the id.
     """
     key = F.md5(F.concat(F.col("turns")[0]["role"], F.lit("\x1f"), F.col("turns")[0]["text"]).cast("binary"))
-    keyed = stage_table(conversations.select(key.alias("key"), "conv_id"), "first-turns")
+    keyed = stage_table(conversations.select(key.alias("key"), "conv_id", (_last(F.col("turns"), learned) == 0).alias("mute")), "first-turns")
     odd = keyed.groupBy("key").agg(F.max("conv_id").alias("conv_id"), F.count(F.lit(1)).alias("n")).where(F.col("n") % 2 == 1)
-    left = keyed.join(odd.select("conv_id", F.lit(True).alias("left")), "conv_id", "left").withColumn("left", F.col("left").isNotNull())
-    placed = ranked(stage_table(left, "odd-ones"), "left", "key", "conv_id")
-    pair = F.floor(F.col("rank") / 2).alias("pair_id")
-    side = placed.select(pair, (F.col("rank") % 2).alias("side"), "conv_id")
+    alone = keyed.join(odd.select("conv_id", F.lit(True).alias("alone")), "conv_id", "left").withColumn("alone", F.col("alone").isNotNull())
+    alone = stage_table(alone.withColumn("mute", F.col("alone") & F.col("mute")), "odd-ones")
+    paired, givers = alone.agg(F.count_if(~F.col("alone")), F.count_if(F.col("alone") & ~F.col("mute"))).first()
+    placed = ranked(alone, "alone", "mute", "key", "conv_id")
+    side = placed.where(F.col("rank") < paired).select(F.floor(F.col("rank") / 2).alias("pair_id"), (F.col("rank") % 2).alias("side"), "conv_id")
     pick = lambda k: F.max(F.when(F.col("side") == k, F.col("conv_id")))
-    return side.groupBy("pair_id").agg(pick(0).alias("chosen_id"), pick(1).alias("rejected_id"))
+    pairs = side.groupBy("pair_id").agg(pick(0).alias("chosen_id"), pick(1).alias("rejected_id")).withColumn("derived", F.lit(False))
+    lone = placed.where(F.col("rank") >= paired).select((F.col("rank") - paired).alias("at"), "conv_id", "mute")
+    giver = lone.where(~F.col("mute")).select(F.col("at").alias("from"), F.col("conv_id").alias("rejected_id"))
+    wanted = F.when(~F.col("mute") & F.lit(givers > 1), (F.col("at") + 1) % max(1, givers))
+    lone = lone.withColumn("from", wanted).join(giver, "from", "left")
+    return pairs.unionByName(lone.select((F.col("at") + paired // 2).alias("pair_id"), F.col("conv_id").alias("chosen_id"), "rejected_id", F.col("rejected_id").isNotNull().alias("derived")))
+
+
+def _last(turns, learned: str):
+    """Place from 1 of the last turn of this role; 0 without any."""
+    return F.coalesce(F.array_max(F.transform(turns, lambda t, i: F.when(t["role"] == learned, i + 1).otherwise(0))), F.lit(0))
 
 
 def _rendered(turns):
@@ -63,10 +79,14 @@ def _mask(turns, learned: str):
 def format_preferences(conversations: DataFrame, pairs: DataFrame, learned: str = LEARNED) -> DataFrame:
     """Every pair's prompt and masked completions.
 
-    ``conversations(conv_id, turns)``, ``pairs(pair_id, chosen_id, rejected_id)``; an id may be in any number of pairs.
+    ``conversations(conv_id, turns)``, ``pairs(pair_id, chosen_id, rejected_id, derived)``; an id may be in any number of
+    pairs. A derived pair's rejected conversation is the chosen one up to its last turn of ``learned``, with that of the other.
     """
     side = lambda name: conversations.select(F.col("conv_id").alias(f"{name}_id"), F.col("turns").alias(name))
     both = pairs.join(side("chosen"), "chosen_id").join(side("rejected"), "rejected_id", "left")
+    last = _last(F.col("chosen"), learned)
+    put_in = F.concat(F.slice("chosen", F.lit(1), F.greatest(last - 1, F.lit(0))), F.slice("rejected", F.greatest(_last(F.col("rejected"), learned), F.lit(1)), F.lit(1)))
+    both = both.withColumn("rejected", F.when(F.col("derived"), put_in).otherwise(F.col("rejected")))
     same = F.zip_with("chosen", "rejected", lambda a, b: a.eqNullSafe(b))
     stop = F.array_position(same, F.lit(False))
     both = both.withColumn("shared", F.when(F.col("rejected").isNull(), 0).when(stop == 0, F.size("chosen")).otherwise(stop - 1).cast("int"))
@@ -76,6 +96,7 @@ def format_preferences(conversations: DataFrame, pairs: DataFrame, learned: str
         "pair_id",
         "chosen_id",
         "rejected_id",
+        "derived",
         F.col("shared").cast("long").alias("prompt_turns"),
         _rendered(F.slice("chosen", 1, F.col("shared"))).alias("prompt"),
         _rendered(rest("chosen")).alias("chosen"),

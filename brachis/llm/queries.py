@@ -135,11 +135,19 @@ def _chat_sql() -> str:
     return f"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 v AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, text) AS turns FROM t GROUP BY conv_id),
-k AS (SELECT conv_id, turns, row_number() OVER (ORDER BY md5(turns[1].role || chr(31) || turns[1].text), conv_id) - 1 AS rank FROM v),
-b AS (SELECT a.rank // 2 AS pair_id, a.conv_id AS chosen_id, z.conv_id AS rejected_id, a.turns AS c, z.turns AS r
-      FROM k a LEFT JOIN k z ON z.rank = a.rank + 1 WHERE a.rank % 2 = 0),
+q AS (SELECT conv_id, turns, md5(turns[1].role || chr(31) || turns[1].text) AS key, list_filter(turns, lambda t: t.role = 'assistant')[-1] AS reply,
+      coalesce(list_max(list_filter(range(1, len(turns) + 1), lambda i: turns[i].role = 'assistant')), 0) AS at FROM v),
+g AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY conv_id) AS i, count(*) OVER (PARTITION BY key) AS n FROM q),
+p AS (SELECT *, row_number() OVER (ORDER BY key, conv_id) - 1 AS rank, count(*) OVER () AS paired FROM g WHERE NOT (i = n AND n % 2 = 1)),
+o AS (SELECT *, row_number() OVER (ORDER BY reply IS NULL, key, conv_id) - 1 AS rank, count(reply) OVER () AS givers FROM g WHERE i = n AND n % 2 = 1),
+b AS (SELECT a.rank // 2 AS pair_id, a.conv_id AS chosen_id, z.conv_id AS rejected_id, false AS derived, a.turns AS c, z.turns AS r
+      FROM p a JOIN p z ON z.rank = a.rank + 1 WHERE a.rank % 2 = 0
+      UNION ALL
+      SELECT a.rank + coalesce((SELECT max(paired) FROM p), 0) // 2, a.conv_id, z.conv_id, z.conv_id IS NOT NULL, a.turns,
+             CASE WHEN z.conv_id IS NOT NULL THEN list_append(a.turns[1:a.at - 1], z.reply) END
+      FROM o a LEFT JOIN o z ON a.reply IS NOT NULL AND a.givers > 1 AND z.rank = (a.rank + 1) % a.givers),
 s AS (SELECT *, CASE WHEN r IS NULL THEN 0 ELSE coalesce(list_min(list_filter(range(1, greatest(len(c), len(r)) + 1), lambda i: c[i] IS DISTINCT FROM r[i])) - 1, len(c)) END AS shared FROM b)
-SELECT pair_id, chosen_id, rejected_id, CAST(shared AS BIGINT) AS prompt_turns, {render.replace("{x}", "c[1:shared]")} AS prompt,
+SELECT pair_id, chosen_id, rejected_id, derived, CAST(shared AS BIGINT) AS prompt_turns, {render.replace("{x}", "c[1:shared]")} AS prompt,
        {render.replace("{x}", chosen)} AS chosen, {mask.replace("{x}", chosen)} AS chosen_mask,
        CASE WHEN r IS NOT NULL THEN {render.replace("{x}", rejected)} END AS rejected, CASE WHEN r IS NOT NULL THEN {mask.replace("{x}", rejected)} END AS rejected_mask
 FROM s"""
