@@ -21,9 +21,11 @@ _own: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only in local mode without it."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         if not _own:
             _own.append("file://" + tempfile.mkdtemp(prefix="brachis-"))
         base = _own[0]

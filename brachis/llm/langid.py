@@ -65,7 +65,10 @@ def sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_i
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
     chosen = near.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= sample_docs)
     # at most sample_docs ids a language: a proven bound for the broadcast
-    return ok.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi").select("lang", "text")
+    rows = ok.join(F.broadcast(chosen.select("doc_id", "lang").distinct()), ["doc_id", "lang"], "left_semi")
+    # rows that repeat an id count one by one; each task sends on no more than sample_docs rows a language
+    each = Window.partitionBy("lang").orderBy(h, "doc_id", F.xxhash64("text"))
+    return rows.withColumn("rank", F.row_number().over(each)).where(F.col("rank") <= sample_docs).select("lang", "text")
 
 
 def learn(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS, **columns: str) -> dict:

@@ -21,6 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import drop_table, fold_ascii, release_memory, slices, stage_table, text_buffers, word_spans
 from .components import connected_components
@@ -75,15 +76,21 @@ def simhash_batch(column: pa.Array, shingle: int = 3) -> np.ndarray:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long with the same bits."""
+    return _printed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))).select("doc_id", "fp")
+
+
+def _printed(given: DataFrame) -> DataFrame:
+    """``given(doc_id, text)`` with a hash of the text and the fingerprint in place of the text."""
+    given = given.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    schema = T.StructType([*given.schema.fields[:2], T.StructField("fp", T.LongType())])
 
     def run(batches):
         for batch in batches:
-            fp = simhash_batch(batch.column(1)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            fp = simhash_batch(batch.column(2)).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], names=schema.names)
         release_memory()
 
-    kind = docs.select(id_col).dtypes[0][1]
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    return given.mapInArrow(run, schema)
 
 
 def _block_counts(values: np.ndarray, blocks: int) -> np.ndarray:
@@ -201,30 +208,37 @@ def _links(src: list, dst: list) -> pa.RecordBatch:
 
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``; component_id is the smallest doc_id reachable over links."""
-    prints = stage_table(fingerprints(docs, id_col, text_col), "simhash")
+    """(doc_id, text_hash, fp, root, component_id) for every row of ``docs``; component_id is the smallest doc_id reachable over
+    links, root the smallest fingerprint, which tells components apart where doc_ids repeat."""
+    prints = stage_table(_printed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))), "simhash")
     distinct = stage_table(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "simhash-distinct")
     blocks = BLOCKS if distinct.count() < MORE_BLOCKS_FROM else 2 * BLOCKS
     roots = connected_components(near_links(distinct.select("fp"), radius, blocks))
     member = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
     named = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    label = stage_table(member.join(named, "root").select("fp", "component_id"), "simhash-label")
+    label = stage_table(member.join(named, "root").select("fp", "root", "component_id"), "simhash-label")
     drop_table(distinct)
-    return prints.join(label, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(label, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """The rows of ``docs`` that stand for their group: one row of each component, the one with the smallest doc_id.
+    """The rows of ``docs`` that stand for their group: one row of each component.
 
-    The kept row is known by its id, so rows with a null doc_id go unless some group has nothing else: then all of them stay.
+    That is the row with the smallest doc_id (null after all others), of several with that id the one with the smallest hash
+    of its text, and one of those that agree in both. Unlike rows that share an id, or have none, are kept apart.
     """
     marks = stage_table(simhash_components(docs, id_col, text_col, radius), "simhash-marks")
-    kept = marks.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct().withColumnRenamed("doc_id", "_kept")
-    once = docs.join(kept, F.col(id_col).eqNullSafe(F.col("_kept")), "left_semi")
-    repeated = marks.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(F.col("count") > 1)
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    first = marks.groupBy("root").agg(F.min(place).alias("p"))
+    kept = stage_table(first.select(F.col("p.doc_id").alias("_kept"), F.col("p.text_hash").alias("_hash")).distinct(), "simhash-kept")
+    same = (F.col("doc_id").eqNullSafe(F.col("_kept"))) & (F.col("text_hash") == F.col("_hash"))
+    repeated = marks.join(kept, same, "left_semi").groupBy("doc_id", "text_hash").count().where(F.col("count") > 1)
+    repeated = stage_table(repeated.select(F.col("doc_id").alias("_twice"), F.col("text_hash").alias("_twice_hash")), "simhash-repeated")
+    drop_table(marks)
+    row = F.col(id_col).eqNullSafe(F.col("_kept")) & (F.xxhash64(text_col) == F.col("_hash"))
+    once = docs.join(kept, row, "left_semi")
+    # a row that is there several times stays once
     if repeated.isEmpty():
         return once
-    # the same id in several rows: one row of it stays
-    twice = F.col(id_col).eqNullSafe(F.col("_twice"))
-    again = repeated.select(F.col("doc_id").alias("_twice"))
-    return once.join(again, twice, "left_anti").unionByName(once.join(again, twice, "left_semi").dropDuplicates([id_col]))
+    again = F.col(id_col).eqNullSafe(F.col("_twice")) & (F.xxhash64(text_col) == F.col("_twice_hash"))
+    return once.join(repeated, again, "left_anti").unionByName(once.join(repeated, again, "left_semi").dropDuplicates([id_col, text_col]))

@@ -96,6 +96,8 @@ def test_sample_is_bounded(spark):
     table = spark.createDataFrame(corpus(), "doc_id long, text string, lang string")
     sizes = {r["lang"]: r["count"] for r in langid.sample(table, 10).groupBy("lang").count().collect()}
     assert sizes == {"xx": 10, "yy": 10, "zz": 10}
+    again = table.unionByName(table.where("lang = 'xx'").withColumn("doc_id", F.lit(0).cast("long"))).unionByName(table.where("doc_id = 3").crossJoin(spark.range(50)).drop("id"))
+    assert max(r["count"] for r in langid.sample(again, 10).groupBy("lang").count().collect()) == 10
 
 
 def test_without_languages(spark):
@@ -105,7 +107,9 @@ def test_without_languages(spark):
 
 
 def test_keep_identified(spark):
-    rows = corpus() + [(1000, None, "xx"), (1001, "#### 12 ++", "yy")]
+    rng = random.Random(3)
+    junk = ["".join(rng.choice("абвгдежз  ") for _ in range(200)), "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(80)), "".join(rng.choice("!@#$%^&*()QZXJ<>") for _ in range(300)), "\x01\x02a\x07" * 40]
+    rows = corpus() + [(1000, None, "xx"), (1001, "#### 12 ++", "yy")] + [(1002 + k, t, None) for k, t in enumerate(junk)]
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("score", F.lit(3))
     kept = langid.keep_identified(table)
     assert kept.columns == table.columns

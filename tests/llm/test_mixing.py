@@ -66,6 +66,19 @@ def test_other_shares(docs):
         assert all(r.taken <= epochs * r["size"] for r in got)
 
 
+@pytest.mark.parametrize("same_text", [True, False])
+def test_repeated_ids_meet_the_target(spark, words, same_text):
+    """Rows of one id, equal or not, are drawn one by one."""
+    rows = [(7 if k < 900 else k, words(12, 0 if same_text else k), "a") for k in range(1000)] + [(None, words(12, 1), "b")] * 300
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    got = mixing.mix(table, share=0.7, epochs=1).collect()
+    for s in ("a", "b"):
+        own = [r for r in got if r.source == s]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 12 / 2 + 1e-6
+        assert all(0 <= r.taken <= r["size"] for r in own)
+    assert mixing.mixed_rows(table, share=0.7, epochs=1).count() == sum(r.copies for r in got)
+
+
 def test_empty(docs):
     assert mixing.mix(docs[1].limit(0)).count() == 0
     assert mixing.mixed_rows(docs[1].limit(0)).count() == 0

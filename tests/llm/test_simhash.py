@@ -75,3 +75,13 @@ def test_near_links_find_every_group(spark):
         for v, root in want.items():
             assert same.setdefault(root, label[v]) == label[v]
         assert len(set(same.values())) == len(same)
+
+
+def test_no_unlike_document_is_lost(spark, words):
+    """Repeated and null ids, equal and unlike texts: one row of each component stays, whatever its id."""
+    texts = [words(40, k) for k in range(6)]
+    rows = [(5, texts[0]), (5, texts[1]), (9, texts[2]), (None, texts[3]), (None, texts[4]), (9, texts[2]), (None, texts[3]), (3, texts[1]), (5, texts[5]), (5, texts[5])]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_hash", F.lit(1)).withColumn("root", F.lit("clash")).repartition(4)
+    kept = simhash.drop_near_duplicates(table)
+    assert kept.columns == table.columns
+    assert sorted((r.doc_id or -1, r.text) for r in kept.collect()) == sorted([(5, texts[0]), (3, texts[1]), (9, texts[2]), (-1, texts[3]), (-1, texts[4]), (5, texts[5])])
