@@ -6,7 +6,7 @@ is never gathered; only clustering, whose distances are quadratic, holds a famil
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,10 +15,34 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.identifiers import split_tip
+from ..functions.sequences import for_embedding
 
 MAX_FAMILY = 20_000
 
 
+#: Embedding back ends by name: of the settings, a function of a list of cleaned sequences that gives a matrix of vectors.
+#: Models are not part of this library, so users register theirs; a task calls it once and then batch by batch.
+BACKENDS: dict[str, Callable[[dict], Callable[[list[str]], np.ndarray]]] = {}
+
+
+def embed(rows: DataFrame, settings: dict) -> DataFrame:
+    """(hmm, tip, vector) of ``rows(hmm, tip, sequence)`` by the back end that the settings name."""
+    name, size = settings["backend"], int(settings.get("batch_size", 8))
+    if name not in BACKENDS:
+        raise ValueError(f"no embedding back end {name!r} is registered; give vectors instead, or add one to BACKENDS")
+    make = BACKENDS[name]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        vectors = None
+        for batch in batches:
+            vectors = vectors or make(settings)
+            found = [v for lo in range(0, len(batch), size) for v in np.asarray(vectors(batch["sequence"].iloc[lo : lo + size].tolist()), np.float32).tolist()]
+            yield pd.DataFrame({"hmm": batch["hmm"], "tip": batch["tip"], "vector": found})
+
+    cleaned = rows.select("hmm", "tip", for_embedding(F.col("sequence")).alias("sequence"))
+    return cleaned.mapInPandas(run, "hmm string, tip string, vector array<float>")
+
+
 def mean_pool(tokens: Column, mask: Column) -> Column:
     """Mean of the token vectors whose mask is 1, over at least one; ``tokens`` is an array of arrays."""
     dims = F.size(F.get(tokens, F.lit(0)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,19 +39,29 @@ def site_counts(long: DataFrame, by: list[str] | tuple = ("hmm",), clades: DataF
     return long.where(F.col("aa").isNotNull()).groupBy(*keys, "site", "aa").agg(F.count(F.lit(1)).alias("n"))
 
 
-def conservation(long: DataFrame, by: list[str] | tuple = ("hmm",), base: int = len(RESIDUES)) -> DataFrame:
-    """(by, scope, site_1based, conservation): one less the site's entropy in base ``base``, gaps left out.
+def _uncertainty(total: Column, weighted: Column) -> Column:
+    """One less the entropy in base 20, from the residues' sum n and sum n ln n."""
+    return F.lit(1.0) - (F.ln(total) - weighted / total) / F.lit(math.log(len(RESIDUES)))
+
+
+#: Conservation metrics by name: columns of a site's sum n and sum n ln n over its residues. Users may add their own.
+METRICS: dict[str, Callable[[Column, Column], Column]] = {"inverse_shannon_uncertainty": _uncertainty}
+
+
+def conservation(long: DataFrame, by: list[str] | tuple = ("hmm",), metric: str = "inverse_shannon_uncertainty") -> DataFrame:
+    """(by, scope, site_1based, conservation): a metric of ``METRICS`` by site, gaps left out.
 
     A site without a residue has a null score. Letters outside the alphabet are left out like gaps, and do not cost the
     family its table.
     """
+    if metric not in METRICS:
+        raise ValueError(f"no conservation metric {metric!r}; there are {', '.join(sorted(METRICS))}")
     keys = [*by, "site"]
     counts = long.groupBy(*keys, "aa").agg(F.count(F.lit(1)).alias("n"))
     n = F.when(F.col("aa").isNotNull(), F.col("n"))
     # entropy = ln(N) - sum(n ln n) / N, so one aggregation will do
     sums = counts.groupBy(*keys).agg(F.sum(n).alias("total"), F.sum(n * F.ln(n)).alias("weighted"))
-    entropy = (F.ln("total") - F.col("weighted") / F.col("total")) / F.lit(math.log(base))
-    return sums.select(*by, F.lit("global").alias("scope"), F.col("site").alias("site_1based"), (F.lit(1.0) - entropy).alias("conservation"))
+    return sums.select(*by, F.lit("global").alias("scope"), F.col("site").alias("site_1based"), METRICS[metric](F.col("total"), F.col("weighted")).alias("conservation"))
 
 
 def divergence(a: Column, b: Column, total_a: Column, total_b: Column, pseudocount: float = PSEUDOCOUNT) -> Column:

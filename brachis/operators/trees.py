@@ -89,11 +89,17 @@ def common_ancestors(nodes: DataFrame, clades: DataFrame, shown: int = 10) -> Da
     ``missing_tips`` lists tips that a tree lacks, ``no_tips`` marks a clade without any; neither keeps other clades from
     being answered. A tree is one task's work; clades are joined to it, not broadcast.
     """
-    wanted = nodes.select(F.col("hmm").alias("hmm")).distinct().join(clades.select("clade", "tip", "ord"), F.lit(True))
-    there = tips(nodes).select(F.col("hmm").alias("hmm"), "tip", F.lit(True).alias("there"))
-    met = wanted.join(there, ["hmm", "tip"], "left")
-    listed = F.transform(F.slice(F.array_sort(F.collect_list(F.when(F.col("there").isNull(), F.struct("ord", "tip")))), 1, shown), lambda t: t["tip"])
-    groups = met.groupBy("hmm", "clade").agg(F.array_join(listed, ",").alias("missing"), F.collect_set(F.when(F.col("there"), F.col("tip"))).alias("tips"))
+    there = tips(nodes).select(F.col("hmm").alias("hmm"), "tip").distinct()
+    # tips meet the trees that have them by name; what a tree lacks is the clade without them
+    asked = clades.select("clade", "tip", "ord")
+    met = asked.join(there, "tip").groupBy("hmm", "clade").agg(F.collect_set("tip").alias("tips"))
+    whole = asked.groupBy("clade").agg(F.array_sort(F.collect_list(F.struct("ord", "tip"))).alias("all"))
+    families = nodes.select(F.col("hmm").alias("hmm")).distinct()
+    # one row a family and clade is the result's own size
+    groups = families.join(F.broadcast(whole.select("clade")), F.lit(True)).join(met, ["hmm", "clade"], "left").join(whole, "clade")
+    found = F.coalesce("tips", F.array().cast("array<string>"))
+    gone = F.transform(F.slice(F.filter("all", lambda x: ~F.array_contains(found, x["tip"])), 1, shown), lambda x: x["tip"])
+    groups = groups.select("hmm", "clade", F.array_join(gone, ",").alias("missing"), found.alias("tips"))
 
     def solve(key, tree: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         parent = dict(zip(tree["node_id"], tree["parent_id"], strict=True))

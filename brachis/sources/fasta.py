@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.identifiers import split_tip
+from .files import ALIGNMENTS, TREE, alignment_files, cds_files, list_files, stem
+
 
 def read_fasta(spark: SparkSession, path, pattern: str | None = None) -> DataFrame:
     """(file, seq_id, ord, sequence): one row a record of the files at ``path``; ``ord`` orders those of a file.
@@ -42,6 +45,37 @@ def read_proteomes(spark: SparkSession, path: str) -> DataFrame:
     return found.select(F.col("file").alias("genome"), F.col("seq_id").alias("protein"), "ord", "sequence")
 
 
+def read_bins(spark: SparkSession, folder: str, manifest: DataFrame | None = None, left_out: tuple[str, ...] = ("combined_all_hits",)) -> DataFrame:
+    """(hmm, tip, genome, protein, ord, sequence) of a folder of family FASTA files; the family is the file's name."""
+    found = read_fasta(spark, folder, "*.faa").withColumn("hmm", stem(F.col("file"))).where(~F.col("hmm").isin(*left_out))
+    genome, protein = split_tip(F.col("seq_id"))
+    rows = found.select("hmm", F.col("seq_id").alias("tip"), genome.alias("genome"), protein.alias("protein"), "ord", "sequence")
+    return rows if manifest is None else rows.join(manifest.select("hmm").distinct(), "hmm", "left_semi")
+
+
+def read_alignments(spark: SparkSession, folders: list[str], trees: str | None = None) -> DataFrame:
+    """(hmm, tip, ord, aligned) of each family's best alignment in the folders; with ``trees`` of families that have a tree there."""
+    pattern = "*{" + ",".join(ALIGNMENTS) + "}"
+    listed = list_files(spark, folders, pattern)
+    chosen = alignment_files(listed, list_files(spark, trees, "*" + TREE) if trees else None)
+    rows = read_fasta(spark, folders, pattern).join(chosen.select("hmm", F.col("name").alias("file")), "file")
+    return rows.select("hmm", F.col("seq_id").alias("tip"), "ord", F.col("sequence").alias("aligned"))
+
+
+def read_trees(spark: SparkSession, folder: str) -> DataFrame:
+    """(hmm, newick) of a folder of tree files."""
+    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*" + TREE).text(folder)
+    return files.select(F.regexp_replace("_metadata.file_name", r"\.treefile$", "").alias("hmm"), F.regexp_replace("value", r"^\s+|\s+$", "").alias("newick"))
+
+
+def read_cds(spark: SparkSession, folder: str, genomes: DataFrame) -> DataFrame:
+    """(genome, name, ord, sequence): the coding sequences of each genome's file."""
+    chosen = cds_files(genomes, list_files(spark, folder))
+    chosen = chosen.select("genome", F.element_at(F.split("path", "/"), -1).alias("file"))
+    rows = read_fasta(spark, folder, "*.{fna,ffn}").join(chosen, "file")
+    return rows.select("genome", F.col("seq_id").alias("name"), "ord", "sequence")
+
+
 def fasta_record(name: Column, sequence: Column) -> Column:
     return F.concat(F.lit(">"), name, F.lit("\n"), sequence)
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.identifiers import strand_of
+from .tables import in_file_order
 
 
 def gff_attributes(text: Column) -> Column:
@@ -33,8 +34,7 @@ def read_gff(spark: SparkSession, path) -> DataFrame:
     at = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("at")
     lines = spark.read.text(path).select(F.col("_metadata.file_name").alias("file"), at, "value")
     rows = parse_gff(lines).where(F.col("type") == "CDS")
-    order = F.row_number().over(Window.partitionBy("file").orderBy("at")).cast("long") - 1
-    return rows.select("file", order.alias("ord"), "contig", "start", "end", "strand", "attributes")
+    return in_file_order(rows, "file").select("file", "ord", "contig", "start", "end", "strand", "attributes")
 
 
 _QUALIFIER = re.compile(r"^/([^=\s]+)(?:=(.*))?$", re.S)

@@ -15,6 +15,17 @@ def _lines(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), at, "value")
 
 
+def in_file_order(rows: DataFrame, path: str = "path", at: str = "at") -> DataFrame:
+    """``rows`` with ``ord``: place from 0 of each row of a file among those that ``rows`` still has. A window holds the rows of one block of a file,
+    which is bounded by the reader; blocks come after one another by their counts."""
+    blocks = rows.groupBy(path, f"{at}.block").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(path).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.select(F.col(path).alias("_path"), F.col("block").alias("_block"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    here = F.row_number().over(Window.partitionBy("_path", "_block").orderBy(f"{at}.row"))
+    met = rows.join(blocks, (F.col(path) == F.col("_path")) & (F.col(f"{at}.block") == F.col("_block")))
+    return met.withColumn("ord", (F.col("_before") + here - 1).cast("long")).drop("_path", "_block", "_before")
+
+
 def _words(value: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(value, r"\s+", " ")), " ")
 
@@ -25,11 +36,17 @@ def read_domains(spark: SparkSession, path) -> DataFrame:
     A ``#`` ends a line wherever it stands. Scores are those of the full sequence, bounds those of the domain, so that a
     protein with two domains of a profile has two rows of the same score. Lines too short or not numeric are dropped.
     """
+    return parse_domains(_lines(spark, path).select("file", "value"))
+
+
+def parse_domains(lines: DataFrame) -> DataFrame:
+    """``read_domains`` of the lines ``value`` of a table; other columns are kept."""
+    keep = [c for c in lines.columns if c != "value"]
     #: Zero-based columns of a domain table.
     places = {"target": 0, "tlen": 2, "query": 3, "qlen": 5, "evalue": 6, "bitscore": 7, "ali_from": 17, "ali_to": 18}
-    words = _lines(spark, path).select("file", _words(F.substring_index("value", "#", 1)).alias("w")).where(F.size("w") > 18)
+    words = lines.select(*keep, _words(F.substring_index("value", "#", 1)).alias("w")).where(F.size("w") > 18)
     kinds = {f.name: f.dataType.simpleString() for f in schemas.RAW_HITS}
-    found = words.select("file", *(F.get("w", F.lit(k)).try_cast(kinds[n]).alias(n) for n, k in places.items()))
+    found = words.select(*keep, *(F.get("w", F.lit(k)).try_cast(kinds[n]).alias(n) for n, k in places.items()))
     return found.dropna(subset=[n for n in places if kinds[n] != "string"])
 
 
@@ -54,6 +71,13 @@ def read_profile_names(spark: SparkSession, path) -> DataFrame:
     return rows.groupBy("path").agg(F.min_by(F.get("w", F.lit(1)), "at").alias("hmm")).select("hmm", "path")
 
 
+def read_profile_texts(spark: SparkSession, path) -> DataFrame:
+    """(hmm, text) of profile files; a file of several profiles is one text under the name of its first."""
+    texts = spark.read.option("wholetext", True).option("pathGlobFilter", "*.hmm").text(path)
+    name = F.regexp_extract("value", r"(?m)^NAME\s+(\S+)", 1)
+    return texts.where(name != "").select(name.alias("hmm"), F.col("value").alias("text"))
+
+
 def _tsv(spark: SparkSession, path, needed: list[str]) -> DataFrame | None:
     """A tab-separated table with a header, all strings; None if it lacks a needed column."""
     table = spark.read.csv(path, sep="\t", header=True)
@@ -123,6 +147,5 @@ def read_states(spark: SparkSession, path) -> DataFrame:
     fields = F.when(F.col("value").contains("\t"), F.split(F.trim("value"), "\t")).otherwise(_words(F.col("value")))
     rows = rows.select("path", "file", "at", fields.alias("w")).where(F.size("w") >= 3)
     site = F.trim(F.get("w", F.lit(1))).try_cast("int")
-    order = F.row_number().over(Window.partitionBy("path").orderBy("at")).cast("long")
-    rows = rows.select(F.regexp_replace("file", r"\.[^.]*$", "").alias("hmm"), F.get("w", F.lit(0)).alias("node"), site.alias("site"), F.get("w", F.lit(2)).alias("state"), order.alias("ord"))
-    return rows.where(F.col("site").isNotNull())
+    rows = in_file_order(rows.withColumn("site", site).where(F.col("site").isNotNull()))
+    return rows.select(F.regexp_replace("file", r"\.[^.]*$", "").alias("hmm"), F.get("w", F.lit(0)).alias("node"), "site", F.get("w", F.lit(2)).alias("state"), "ord")

@@ -124,5 +124,7 @@ def test_cds_and_annotation_files(spark, tmp_path):
     genomes = spark.createDataFrame([("g1.faa",), ("g2.faa",), ("g3.faa",), ("g4",)], "genome string")
     assert dict(map(tuple, files.cds_files(genomes, listed).collect())) == {"g1.faa": "/d/g1.fna", "g2.faa": "/d/x_g2.fna", "g3.faa": "/d/g3.cds.part.fna"}
     assert dict(map(tuple, files.annotation_files(genomes, listed, ".gb").collect())) == {"g3.faa": "/d/g3.gbff"}
-    both = spark.createDataFrame([("/a/f.afa", "f.afa"), ("/a/f.clipkit.fasta", "f.clipkit.fasta"), ("/a/h.mafft.fasta", "h.mafft.fasta")], "path string, name string")
-    assert dict(map(tuple, files.alignment_files(both).collect())) == {"f": "/a/f.clipkit.fasta", "h": "/a/h.mafft.fasta"}
+    both = spark.createDataFrame([("/a/f.afa", "f.afa"), ("/a/f.clipkit.faa", "f.clipkit.faa"), ("/a/h.mafft.fasta", "h.mafft.fasta")], "path string, name string")
+    assert {r.hmm: r.path for r in files.alignment_files(both).collect()} == {"f": "/a/f.clipkit.faa", "h": "/a/h.mafft.fasta"}
+    grown = spark.createDataFrame([("/t/h.treefile", "h.treefile")], "path string, name string")
+    assert [r.hmm for r in files.alignment_files(both, grown).collect()] == ["h"]
