@@ -2,7 +2,9 @@
 
 A pass gives each vector a code of concatenated random hyperplane signs, orders all vectors lexicographically by it (a
 range partitioned sort), and compares each with a bounded window of its predecessors; verified pairs of all passes are
-united by distributed connected components. The first passes follow from the number of vectors as if these were spread
+united by distributed connected components. What a pass sorts is not the vectors but their codes and sketches: one byte a
+component, with a bound of what rounding may have changed. A sketch settles all pairs but those within that bound of the
+threshold, which are compared by the vectors themselves. The first passes follow from the number of vectors as if these were spread
 evenly. Each pass then tells, by how long a prefix a vector shares with those ``window`` places away and by its distances
 from the planes, how probably a partner right at the threshold was met. Vectors that may have missed one with more than
 1 - ``recall`` get further passes among themselves, or are compared all with all, tile by tile, where that is less work: of
@@ -38,6 +40,9 @@ TILE = 2_048
 #: Vectors whose comparison with one vector costs about what a vector's pass costs, and those that one task compares.
 PASS_COST = 5_000
 EXACT_TILE = 16_384
+#: Rows of a pass that one task sorts, and visitors of a tile that one task compares with it.
+SORT_TASK = 100_000
+VISITORS = 16_384
 _SEED = 1_009
 _GRID = np.linspace(0, 8, 4_097)
 _LOG_AGREE = np.log([0.5 + 0.5 * math.erf(z / math.sqrt(2)) for z in _GRID])
@@ -57,17 +62,22 @@ def unit_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     def run(batches):
         for batch in batches:
-            out = []
-            for vector in batch.column(1).to_pylist():
-                row = None
-                if vector and not any(x is None for x in vector):
-                    v = np.array(vector, np.float64)
-                    top = np.abs(v).max()
-                    if np.isfinite(v).all() and top > 0:
-                        v = v / top  # so that no length over- or underflows
-                        row = (v / np.sqrt((v * v).sum()) + 0.0).astype("<f8").tobytes()
-                out.append(row)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=schema.names)
+            column = batch.column(1)
+            at, flat = column.offsets.to_numpy().astype(np.int64), column.values
+            whole = ~np.isnan(x := flat.to_numpy(zero_copy_only=False).astype(np.float64)) & np.isfinite(x)  # nulls are nan here
+            size = np.where(column.is_valid().to_numpy(zero_copy_only=False), np.diff(at), 0)
+            out = np.full(batch.num_rows, None, object)
+            for d in np.unique(size[size > 0]):
+                rows = np.flatnonzero(size == d)
+                place = at[rows][:, None] + np.arange(d)
+                fit = whole[place].all(1)
+                v = np.where(fit[:, None], x[place], 0.0)
+                top = np.abs(v).max(1)
+                fit &= top > 0
+                v = v[fit] / top[fit][:, None]  # so that no length over- or underflows
+                v = (v / np.sqrt((v * v).sum(1))[:, None] + 0.0).astype("<f8")
+                out[rows[fit]] = [u.tobytes() for u in v]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out.tolist(), pa.binary())], names=schema.names)
 
     given = table.select(F.col(id_col).alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     return given.mapInArrow(run, schema)
@@ -86,9 +96,29 @@ def _planes(d: int, number: int) -> np.ndarray:
     return np.random.default_rng([_SEED, d, number]).standard_normal((d, BITS))
 
 
+def _sketched(x: np.ndarray) -> np.ndarray:
+    """Rows of bytes: scale and rounding error (float32), and one signed byte a component."""
+    scale = (np.abs(x).max(1) / 127).astype("<f4")
+    q = np.rint(x / scale[:, None].astype(np.float64))
+    error = np.sqrt(((x - q * scale[:, None].astype(np.float64)) ** 2).sum(1)) * 1.0001 + 1e-7
+    head = np.stack([scale, error.astype("<f4")], 1).view(np.uint8)
+    return np.concatenate([head, q.astype(np.int8).view(np.uint8)], 1)
+
+
+def _drawn(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The vectors that sketches stand for, and how far the true ones may be from them."""
+    head = np.ascontiguousarray(rows[:, :8]).view("<f4")
+    return rows[:, 8:].view(np.int8).astype(np.float32) * head[:, :1], head[:, 1].astype(np.float64)
+
+
+def _bytes(column: pa.Array) -> np.ndarray:
+    """Rows of one length as a matrix of bytes."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
+
+
 def _codes(units: DataFrame, passes: range) -> DataFrame:
     kind = units.schema["rep"].dataType
-    schema = T.StructType([T.StructField("size", T.IntegerType()), T.StructField("pass", T.IntegerType()), T.StructField("code", T.LongType()), T.StructField("rep", kind), T.StructField("unit", T.BinaryType())])
+    schema = T.StructType([T.StructField("size", T.IntegerType()), T.StructField("pass", T.IntegerType()), T.StructField("code", T.LongType()), T.StructField("rep", kind), T.StructField("sketch", T.BinaryType())])
 
     def run(batches):
         planes: dict[tuple[int, int], np.ndarray] = {}
@@ -98,13 +128,13 @@ def _codes(units: DataFrame, passes: range) -> DataFrame:
             for rows in _by_length(size):
                 some = batch.take(pa.array(rows))
                 x = _matrix(some.column(1))
-                d = x.shape[1]
-                n = len(rows)
+                d, n = x.shape[1], len(rows)
+                sketch = pa.array([u.tobytes() for u in _sketched(x)], pa.binary())
                 for p in passes:
                     if (d, p) not in planes:
                         planes[d, p] = _planes(d, p)
                     code = (x @ planes[d, p] > 0) @ weights
-                    yield pa.RecordBatch.from_arrays([pa.array(size[rows]), pa.array(np.full(n, p, np.int32)), pa.array(code), *some.columns], names=schema.names)
+                    yield pa.RecordBatch.from_arrays([pa.array(size[rows]), pa.array(np.full(n, p, np.int32)), pa.array(code), some.column(0), sketch], names=schema.names)
 
     return units.select("rep", "unit").mapInArrow(run, schema)
 
@@ -136,66 +166,109 @@ def _log_miss(x: np.ndarray, planes: np.ndarray, prefix: np.ndarray, threshold:
     return np.log1p(-np.minimum(np.where(prefix >= BITS, 0.0, met), 1 - 1e-12))
 
 
-def window_links(codes: DataFrame, threshold: float, window: int) -> DataFrame:
-    """(src, dst, miss): links among rows at most ``window`` apart in the order of their pass; without dst, the log
-    probability that src missed a partner in a pass. Rows at the edge of a partition are not counted as having had a pass."""
+def _near_pairs(x: np.ndarray, error: np.ndarray, window: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows at most ``window`` apart: pairs (later, earlier) that may link, and whether they surely do."""
+    n, step = len(x), 4 * window
+    later, earlier, sure = [], [], []
+    for lo in range(0, n, step):
+        hi, begin = min(lo + step, n), max(0, lo - window)
+        dots = x[lo:hi] @ x[begin:hi].T
+        i, j = np.nonzero(dots >= threshold - 2.1 * error.max(initial=0) - 1e-3)
+        dot, i, j = dots[i, j].astype(np.float64), i + lo, j + begin
+        here = (j < i) & (i - j <= window)
+        i, j, dot = i[here], j[here], dot[here]
+        bound = error[i] + error[j] + 3 * error[i] * error[j] + 1e-5
+        here = dot >= threshold - bound
+        later.append(i[here]), earlier.append(j[here]), sure.append((dot >= threshold + bound)[here])
+    none = np.empty(0, np.int64)
+    return np.concatenate([none, *later]), np.concatenate([none, *earlier]), np.concatenate([none.astype(bool), *sure])
+
+
+def window_links(codes: DataFrame, threshold: float, window: int, n: int) -> DataFrame:
+    """(src, dst, miss) among the ``n`` rows at most ``window`` apart in the order of their pass: links as many as join what
+    they join, with miss 0; pairs that only the vectors can settle, with miss 1; and, without dst, the log probability that
+    src missed a partner in a pass. Rows at the edge of a partition are not counted as having had a pass."""
     kind = codes.schema["rep"].dataType
     schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind), T.StructField("miss", T.DoubleType())])
-    parts = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["size", "pass", "code", "rep"]
 
     def run(batches):
         planes: dict[tuple[int, int], np.ndarray] = {}
 
-        def step(batch, told: int, upto: int):
-            """Links of a stretch of rows, and what the passes of its rows from ``told`` to ``upto`` were worth."""
+        def step(batch, fresh: int, told: int, upto: int):
+            """What rows from ``fresh`` on and the rows before them give, and what the passes of those from ``told`` to ``upto`` were worth."""
             total = batch.num_rows
             group = batch.column(0).to_numpy().astype(np.int64) * 1_000_000 + batch.column(1).to_numpy()
-            pairs, rated, worth = [], [], []
+            links, doubts, rated, worth = [], [], [], []
             for rows in _by_length(group):  # contiguous, as the rows are sorted
-                x, code, n = _matrix(batch.column(4).slice(rows[0], len(rows))), batch.column(2).slice(rows[0], len(rows)).to_numpy(), len(rows)
+                first, n = int(rows[0]), len(rows)
+                x, error = _drawn(_bytes(batch.column(4).slice(first, n)))
+                code = batch.column(2).slice(first, n).to_numpy()
+                i, j, sure = _near_pairs(x, error, window, threshold)
+                new = i + first >= fresh
+                links.append((rows[i[new & sure]], rows[j[new & sure]]))
+                doubts.append((rows[i[new & ~sure]], rows[j[new & ~sure]]))
                 far = np.full(n, -1)  # bits shared with the unlinked rows ``window`` places before and after
-                for away in range(1, min(window, n - 1) + 1):
-                    dots = np.einsum("ij,ij->i", x[away:], x[:-away])
-                    hit = np.flatnonzero(dots >= threshold)
-                    if len(hit):
-                        pairs.append((rows[hit + away], rows[hit]))
-                    if away == window:
-                        shared = BITS - np.frexp((code[away:] ^ code[:-away]).astype(np.float64))[1]
-                        shared = np.where(dots >= threshold, -1, shared)
-                        far[away:] = shared
-                        far[:-away] = np.maximum(far[:-away], shared)
-                if rows[0] == 0:
+                if n > window:
+                    shared = BITS - np.frexp((code[window:] ^ code[:-window]).astype(np.float64))[1]
+                    linked = i[sure & (i - j == window)] - window
+                    shared[linked] = -1
+                    far[window:] = shared
+                    far[:-window] = np.maximum(far[:-window], shared)
+                if first == 0:
                     far[: max(0, window)] = BITS  # rows before them may be in another partition
                 if rows[-1] == total - 1:
                     far[max(0, n - window) :] = BITS
-                lo, hi = max(told - rows[0], 0), min(upto - rows[0], n)
+                lo, hi = max(told - first, 0), min(upto - first, n)
                 if lo < hi:
-                    key = x.shape[1], int(batch.column(1)[int(rows[0])].as_py())
+                    key = x.shape[1], int(batch.column(1)[first].as_py())
                     if key not in planes:
                         planes.clear()
                         planes[key] = _planes(*key)
                     rated.append(rows[lo:hi])
                     worth.append(_log_miss(x[lo:hi], planes[key], far[lo:hi], threshold))
-            a, b = _span(pairs)
-            ids, at = batch.column(3), np.concatenate([np.empty(0, np.int64), *rated])
-            left = pa.concat_arrays([ids.take(pa.array(a, pa.int64())), ids.take(pa.array(at))])
-            right = pa.concat_arrays([ids.take(pa.array(b, pa.int64())), pa.nulls(len(at), ids.type)])
-            return pa.RecordBatch.from_arrays([left, right, pa.concat_arrays([pa.nulls(len(a), pa.float64()), pa.array(np.concatenate([np.empty(0), *worth]))])], names=schema.names)
+            a, b = _span(links)
+            none = np.empty(0, np.int64)
+            c, d = (np.concatenate([none, *(p[k] for p in doubts)]) for k in (0, 1))
+            ids, at = batch.column(3), np.concatenate([none, *rated])
+            left = pa.concat_arrays([ids.take(pa.array(x, pa.int64())) for x in (a, c, at)])
+            right = pa.concat_arrays([*(ids.take(pa.array(x, pa.int64())) for x in (b, d)), pa.nulls(len(at), ids.type)])
+            value = np.concatenate([np.zeros(len(a)), np.ones(len(c)), *worth])
+            return pa.RecordBatch.from_arrays([left, right, pa.array(value)], names=schema.names)
 
         held, told = None, 0
         for batch in batches:
-            batch = pa.RecordBatch.from_arrays([batch.column(k) for k in (0, 1, 2, 3, 4)], names=["size", "pass", "code", "rep", "unit"])
+            batch = pa.RecordBatch.from_arrays([batch.column(k) for k in range(5)], names=["size", "pass", "code", "rep", "sketch"])
+            fresh = 0
             if held is not None:
+                fresh = held.num_rows
                 batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
             upto = max(told, batch.num_rows - window)
-            yield step(batch, told, upto)
+            yield step(batch, fresh, told, upto)
             cut = max(0, batch.num_rows - 2 * window)
             held, told = batch.slice(cut), upto - cut
         if held is not None:
-            yield step(held, told, held.num_rows)
+            yield step(held, held.num_rows, told, held.num_rows)
+
+    # partitions follow from the rows, so that few rows stand at an edge whatever the session's settings
+    return codes.repartitionByRange(max(1, n // SORT_TASK), *order).sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
+def settled(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """Those (src, dst) of the ``pairs`` whose vectors ``classes(rep, unit)`` link."""
+    side = lambda name, unit: classes.select(F.col("rep").alias(name), F.col("unit").alias(unit))
+    met = pairs.distinct().join(side("src", "a"), "src").join(side("dst", "b"), "dst").select("src", "dst", "a", "b")
+    schema = T.StructType([met.schema["src"], met.schema["dst"]])
+
+    def run(batches):
+        for batch in batches:
+            size = np.array([len(x) for x in batch.column(2).to_pylist()])
+            for rows in _by_length(size):
+                some = batch.take(pa.array(rows))
+                near = np.einsum("ij,ij->i", _matrix(some.column(2)), _matrix(some.column(3))) >= threshold
+                yield pa.RecordBatch.from_arrays([some.column(k).filter(pa.array(near)) for k in (0, 1)], names=schema.names)
 
-    return codes.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(run, schema)
+    return met.mapInArrow(run, schema)
 
 
 def exact_links(units: DataFrame, n: int, threshold: float, tile: int = EXACT_TILE) -> DataFrame:
@@ -232,9 +305,12 @@ def all_links(classes: DataFrame, threshold: float = THRESHOLD, window: int = WI
     pending, n, done, links = classes.select("rep", "unit", F.lit(0.0).alias("miss")), classes.count(), 0, None
     more = passes_for(n, threshold, window, recall)
     while True:
-        found = stage_table(window_links(_codes(pending, range(done, done + more)), threshold, window), "window-links")
+        found = stage_table(window_links(_codes(pending, range(done, done + more)), threshold, window, n * more), "window-links")
         done += more
-        new = found.where("dst is not null").select("src", "dst")
+        new = found.where("dst is not null and miss = 0").select("src", "dst")
+        doubts = found.where("dst is not null and miss = 1").select("src", "dst")
+        if not doubts.isEmpty():
+            new = new.unionByName(settled(doubts, classes, threshold))
         links = new if links is None else links.unionByName(new)
         miss = found.where("dst is null").groupBy(F.col("src").alias("rep")).agg(F.sum("miss").alias("passed"))
         total = F.col("miss") + F.coalesce("passed", F.lit(0.0))
@@ -261,29 +337,39 @@ def with_core(members: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            core = [len(a) == len(b) and bool(np.frombuffer(a, "<f8") @ np.frombuffer(b, "<f8") >= least) for a, b in zip(batch.column(4).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            size = np.array([len(x) for x in batch.column(3).to_pylist()], np.int64)
+            same = size == np.array([len(x) for x in batch.column(4).to_pylist()], np.int64)
+            core = np.zeros(batch.num_rows, bool)
+            for rows in _by_length(np.where(same, size, -1)):
+                if same[rows[0]]:
+                    some = batch.take(pa.array(rows))
+                    core[rows] = np.einsum("ij,ij->i", _matrix(some.column(3)), _matrix(some.column(4))) >= least
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(core, pa.bool_())], names=schema.names)
 
     return members.join(first, "component").mapInArrow(run, schema)
 
 
-def component_links(members: DataFrame, threshold: float = THRESHOLD, tile: int = TILE) -> DataFrame:
+def component_links(members: DataFrame, threshold: float = THRESHOLD, tile: int = TILE, visitors: int = VISITORS) -> DataFrame:
     """(rep, links): for ``members(component, rep, n, unit, core)``, how many vectors of its component each one links with.
 
     ``n`` is the number of copies that a row stands for. Vectors outside the core are cut into tiles; a tile is held in
-    memory, and the core and the members of the tiles before it stream past.
+    memory, and the core and the members of the tiles before it stream past, in several parts where they are many.
     """
     kind = members.schema["rep"].dataType
     schema = T.StructType([T.StructField("rep", kind), T.StructField("links", T.LongType())])
     inner = stage_table(members.where("core").groupBy("component").agg(F.sum("n").alias("core_n")), "cores")
     among = members.where("core").join(inner, "component").select("rep", (F.col("core_n") - F.col("n")).alias("links"))
-    sizes = stage_table(members.where(~F.col("core")).groupBy("component").agg(F.ceil(F.count(F.lit(1)) / tile).cast("int").alias("tiles")), "tiled")
-    home = F.when(F.col("core"), -1).otherwise(F.pmod(F.xxhash64("rep"), F.col("tiles").cast("long")).cast("int"))
-    met = members.join(sizes, "component").withColumn("home", home)
-    met = met.select("component", F.explode(F.sequence(F.greatest("home", F.lit(0)), F.col("tiles") - 1)).alias("tile"), "home", "rep", "n", "unit")
-    met = met.select("component", "tile", (F.col("tile") != F.col("home")).alias("visits"), "rep", "n", "unit")
+    outer = F.count_if(~F.col("core"))
+    sizes = members.groupBy("component").agg(F.ceil(outer / tile).cast("int").alias("tiles"), F.ceil(F.count(F.lit(1)) / visitors).cast("int").alias("salts"))
+    sizes = stage_table(sizes.where("tiles > 0"), "tiled")
+    hashed = lambda n: F.pmod(F.xxhash64("rep"), F.col(n).cast("long")).cast("int")
+    met = members.join(sizes, "component").withColumn("home", F.when(F.col("core"), -1).otherwise(hashed("tiles")))
+    met = met.select("component", F.explode(F.sequence(F.greatest("home", F.lit(0)), F.col("tiles") - 1)).alias("tile"), "home", "salts", "rep", "n", "unit")
+    # a tile's own rows go to all of its parts, a visitor to one
+    part = F.when(F.col("tile") == F.col("home"), F.sequence(F.lit(0), F.col("salts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep", F.lit(1)), F.col("salts").cast("long")).cast("int")))
+    met = met.select("component", "tile", F.explode(part).alias("salt"), (F.col("tile") != F.col("home")).alias("visits"), "rep", "n", "unit")
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = met.repartition(parts, "component", "tile").sortWithinPartitions("component", "tile", "visits")
+    dealt = met.repartition(parts, "component", "tile", "salt").sortWithinPartitions("component", "tile", "salt", "visits")
 
     def out(ids: pa.Array, links: np.ndarray) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([ids, pa.array(links.astype(np.int64))], names=schema.names)
@@ -293,25 +379,24 @@ def component_links(members: DataFrame, threshold: float = THRESHOLD, tile: int
 
         def settle():
             x, n = np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
-            links = (x @ x.T >= threshold) @ n - n  # a unit vector links with itself
+            # a unit vector links with itself; one part of the tile compares its own rows with each other
+            links = (x @ x.T >= threshold) @ n - n if key[2] == 0 else np.zeros(len(n), np.int64)
             return [pa.concat_arrays([p[0] for p in parts]), x, n, links]
 
         for batch in batches:
-            comp, at = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            visits = batch.column(2).to_pylist()
-            marks = list(zip(comp, at, visits, strict=True))
+            marks = list(zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True))
             turns = [0, *(i for i in range(1, len(marks)) if marks[i] != marks[i - 1]), len(marks)]
             for lo, hi in zip(turns[:-1], turns[1:], strict=True):
                 if lo == hi:
                     continue
-                if marks[lo][:2] != key:
+                if marks[lo][:3] != key:
                     if own is None and parts:
                         own = settle()
                     if own is not None:
                         yield out(own[0], own[3])
-                    key, parts, own = marks[lo][:2], [], None
-                rows = (batch.column(3).slice(lo, hi - lo), _matrix(batch.column(5).slice(lo, hi - lo)), batch.column(4).slice(lo, hi - lo).to_numpy())
-                if not marks[lo][2]:
+                    key, parts, own = marks[lo][:3], [], None
+                rows = (batch.column(4).slice(lo, hi - lo), _matrix(batch.column(6).slice(lo, hi - lo)), batch.column(5).slice(lo, hi - lo).to_numpy())
+                if not marks[lo][3]:
                     parts.append(rows)
                     continue
                 if own is None and parts:

@@ -48,11 +48,46 @@ def test_component_links_in_tiles(spark):
         core = np.array([r.core for r in sorted(marked.collect(), key=lambda r: r.rep)])
         assert core.any() and near[np.ix_(core, core)].all()
         for table in (marked, members.withColumn("core", F.lit(False))):
-            for tile in (7, 1000):
-                got = {r.rep: r.links for r in embeddings.component_links(table, 0.95, tile).collect()}
+            for tile, visitors in ((7, 12), (7, 1000), (1000, 20), (1000, 1000)):
+                got = {r.rep: r.links for r in embeddings.component_links(table, 0.95, tile, visitors).collect()}
                 assert got == {k: int(near[k] @ n - n[k]) for k in range(50)}
 
 
+def test_sketches_settle_pairs_rightly():
+    rng = np.random.default_rng(4)
+    for d in (1, 3, 64, 300):
+        x = rng.normal(size=(200, d)) * (rng.random((200, d)) < 0.5) + 1e-3
+        x[100:] = x[:100] + 0.1 * rng.normal(size=(100, d))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        drawn, error = embeddings._drawn(embeddings._sketched(x))
+        assert (np.linalg.norm(drawn - x, axis=1) <= error).all()
+        i, j, sure = embeddings._near_pairs(drawn, error, 120, 0.95)
+        dots = x @ x.T
+        met = {(a, b): s for a, b, s in zip(i.tolist(), j.tolist(), sure.tolist())}
+        for a in range(200):
+            for b in range(max(0, a - 120), a):
+                assert dots[a, b] < 0.95 if (a, b) not in met else dots[a, b] >= 0.95 or not met[a, b]
+
+
+def test_links_do_not_depend_on_the_partitions(spark):
+    """Planted pairs just above the threshold, in a table without other links."""
+    rng = np.random.default_rng(5)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    x = unit(rng.normal(size=(600, 48)))
+    y = rng.normal(size=(600, 48))
+    y = unit(y - (y * x).sum(1, keepdims=True) * x)
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, 0.952 * x + math.sqrt(1 - 0.952**2) * y]))]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    was, found = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for parts in (2, 60):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            found.append({r.vec_id: r.n_links for r in embeddings.near_duplicates(table).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert found[0] == found[1] and sum(found[0].values()) >= 0.99 * 1200
+
+
 def test_passes_grow_slowly():
     assert embeddings.passes_for(100) <= embeddings.passes_for(10**5) <= embeddings.passes_for(10**9) < 100
 
