@@ -110,14 +110,17 @@ def _license_sql() -> str:
         test = " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(words))
         places.append(f"list_filter(range(len(w)), lambda i: {test})")
     n, labels = range(len(places)), list(licenses.PHRASES.values())
-    sets = ", ".join(f"('{label}', {licenses.template_words(text)!r})" for label, text in licenses.TEMPLATES)
+    sets = ", ".join(f"('{label}', {licenses.template_shingles(text)!r})" for label, text in licenses.TEMPLATES)
+    size = licenses.SHINGLE
     return f"""
 WITH t AS (SELECT row_number() OVER () AS row, doc_id, translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS low FROM documents),
 s AS (SELECT row, doc_id, low, list_filter(regexp_split_to_array(low, '{licenses.GAP}'), lambda x: x <> '') AS w FROM t),
 b AS (SELECT row, doc_id, len(w) AS n_words, {", ".join(f"{x} AS p{k}" for k, x in enumerate(places))} FROM s),
 templates(label, words) AS (VALUES {sets}),
-l AS (SELECT row, unnest(string_split(low, chr(10))) AS line FROM s),
-m AS (SELECT row, label, len(list_intersect(list_distinct(regexp_split_to_array(line, '{licenses.GAP}')), words)) / len(words) AS part FROM l CROSS JOIN templates),
+l AS (SELECT row, unnest(regexp_split_to_array(low, '{licenses.BLANK}')) AS block FROM s),
+lw AS (SELECT row, list_filter(regexp_split_to_array(block, '{licenses.GAP}'), lambda x: x <> '') AS w FROM l),
+ls AS (SELECT row, list_distinct(list_transform(range(1, greatest(len(w) - {size - 1}, 1) + 1), lambda i: array_to_string(w[i:i + {size - 1}], ' '))) AS shingles FROM lw),
+m AS (SELECT row, label, len(list_intersect(shingles, words)) / len(words) AS part FROM ls CROSS JOIN templates),
 f AS (SELECT row, list(DISTINCT label) AS more, max(part) AS part FROM m WHERE part >= {licenses.THRESHOLD} GROUP BY row),
 o AS (SELECT b.*, more, part, list_filter([{", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{labels[k]}' END" for k in n)}], lambda x: x IS NOT NULL) AS own,
       {" || ".join(f"p{k}" for k in n)} AS places FROM b LEFT JOIN f ON b.row = f.row)
