@@ -3,11 +3,13 @@
 Each language gets a variable-order byte context tree: counts of the byte after every context of up to ``order`` bytes,
 with A-Z folded to a-z. A byte not seen after a context costs that context's escape probability d/(n+d) (n: occurrences,
 d: distinct followers) and is then coded by the context one byte shorter; the last resort is 1/256. The statistics are
-frozen after learning, so the code length of a byte depends only on its context and is compiled into one table per
-language; a text's score is the exact sum over all its bytes, taken with vectorised gathers.
+frozen after learning, so the code length of a byte depends only on its context. For every context length the grams that
+any language has seen are kept sparsely, in a hash table, with their code lengths under all languages; a byte walks down
+from the longest context, adding escapes, until a table has it. A text's score is the exact sum over all its bytes.
 
-Learning uses a bounded sample, ``sample_docs`` documents a language (those with the smallest hash of their doc_id), from
-rows with a lang and a crc32(doc_id as text) whose remainder by 4 is not 2. Prediction uses the text alone.
+Learning uses a bounded sample: ``sample_docs`` documents a language (those with the smallest hash of their doc_id), fewer
+from 16 languages on, of the ``MAX_LANGS`` languages with most labelled documents (ties by code point), from rows with a
+lang and a crc32(doc_id as text) whose remainder by 4 is not 2. Prediction uses the text alone.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; ties go to the language first in code
 point order; with nothing to learn from every text is ``und``. A row with a null doc_id is predicted, never learned from
@@ -26,13 +28,18 @@ from pyspark.sql import types as T
 
 from .common import fold_ascii, release_memory, slices, stage_table, text_buffers
 
-ORDER = 2
+ORDER = 4
+#: Bounds of the learning sample: documents a language, documents in all, languages. They bound the model and its broadcast.
 SAMPLE_DOCS = 600
-BROADCAST_LANGUAGES = 10_000
+SAMPLE_ALL = 9_600
+MAX_LANGS = 64
 UNDETERMINED = "und"
-#: What counts as no language in the pipeline: more bits a byte than prose of any learned language needs, or a coin toss.
+#: What counts as no language in the pipeline: more bits a byte than texts of any learned language need (prose takes 2 to 3,
+#: short texts with keys or numbers up to 6.8; random letters, other scripts and binary data 13 and more), or a toss-up of three.
 MAX_BITS = 7.5
-MIN_SCORE = 0.5
+MIN_SCORE = 1 / 3
+#: Bytes that a text may cost above that, as its first ones have little context.
+FIRST_BYTES = 3
 
 
 def held_out(doc_id):
@@ -58,8 +65,10 @@ def sample(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, id_col: str = "doc_i
     ok = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"))
     ok = ok.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     thin = ok.select("doc_id", "lang", h.alias("h"))
-    sizes = stage_table(thin.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
-    side = F.broadcast(sizes) if sizes.count() <= BROADCAST_LANGUAGES else sizes
+    sizes = thin.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    sizes = stage_table(sizes.orderBy(F.col("n").desc(), "lang").limit(MAX_LANGS), "languages")
+    side = F.broadcast(sizes)  # at most MAX_LANGS rows
+    sample_docs = min(sample_docs, max(1, SAMPLE_ALL // max(1, sizes.count())))
     # only hashes that can be among the smallest (with a margin of eight) are ranked, so no language fills a task
     near = thin.join(side, "lang").where(F.col("h") / F.lit(float(1 << 52)) * F.col("n") < 8 * sample_docs)
     first = Window.partitionBy("lang").orderBy("h", "doc_id")
@@ -103,72 +112,133 @@ def learn(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS, *
     rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(rows["lang"].unique(), key=lambda x: x.encode())
     grams = {lang: rows[rows["lang"] == lang].sort_values("gram") for lang in langs}
-    return {"id": uuid.uuid4().hex, "order": order, "langs": langs, "grams": [(grams[x]["gram"].to_numpy(np.int64), grams[x]["n"].to_numpy(np.int64)) for x in langs]}
-
-
-_compiled: dict[str, tuple[np.ndarray, list[np.ndarray]]] = {}
-
-
-def compile_model(model: dict) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Symbol of each byte, and per language the bits of every (context, symbol); kept for the worker's next task."""
+    return {"id": uuid.uuid4().hex, "order": order, "langs": langs, "levels": levels([(grams[x]["gram"].to_numpy(np.int64), grams[x]["n"].to_numpy(np.int64)) for x in langs], order)}
+
+
+def _tail(grams: np.ndarray, n: int) -> np.ndarray:
+    """The last ``n`` bytes of each gram."""
+    return grams & ((1 << 8 * n) - 1)
+
+
+def levels(counted: list[tuple[np.ndarray, np.ndarray]], order: int) -> list[dict[str, np.ndarray]]:
+    """For every context length the grams that any language has seen with their bits under each language, and the contexts
+    with the bits of their escape. ``counted`` holds each language's grams of the longest context and their numbers."""
+    out: list[dict[str, np.ndarray]] = []
+    for k in range(order + 1):
+        own = [np.unique(_tail(g, k + 1), return_inverse=True) for g, _ in counted]
+        grams = np.unique(np.concatenate([np.empty(0, np.int64), *(x for x, _ in own)]))
+        count = np.zeros((len(grams), len(counted)))
+        for j, ((x, at), (_, n)) in enumerate(zip(own, counted, strict=True)):
+            count[np.searchsorted(grams, x), j] = np.bincount(at, n, len(x))
+        contexts, first, group = np.unique(grams >> 8, return_index=True, return_inverse=True)
+        if len(grams):
+            total, distinct = np.add.reduceat(count, first), np.add.reduceat((count > 0).astype(np.float64), first)
+        else:
+            total = distinct = np.zeros((0, len(counted)))
+        whole = np.maximum(total + distinct, 1)
+        escape = -np.log2(np.where(total > 0, distinct / whole, 1.0))
+        below = out[-1]["bits"][np.searchsorted(out[-1]["grams"], _tail(grams, k))] if k else 8.0
+        with np.errstate(divide="ignore"):
+            bits = np.where(count > 0, -np.log2(count / whole[group]), escape[group] + below)
+        out.append({"grams": grams, "bits": bits.astype(np.float32), "contexts": contexts, "escape": escape.astype(np.float32)})
+    return out
+
+
+class _Places:
+    """The place of each of some distinct numbers, by open addressing in an array."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        self.keys, self.at = np.full(1 << self.bits, -1, np.int64), np.full(1 << self.bits, -1, np.int32)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            free = self.keys[slot] < 0
+            _, won = np.unique(slot[free], return_index=True)
+            won = np.flatnonzero(free)[won]
+            self.keys[slot[won]], self.at[slot[won]] = keys[left[won]], left[won]
+            stay = np.ones(len(left), bool)
+            stay[won] = False
+            left, slot = left[stay], self._next(slot[stay])
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _next(self, slot: np.ndarray) -> np.ndarray:
+        return (slot + 1) & ((1 << self.bits) - 1)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        """The places of the keys; -1 for others."""
+        slot = self._slot(keys)
+        there = self.keys[slot]
+        out = np.where(there == keys, self.at[slot], -1)
+        left = np.flatnonzero((there != keys) & (there >= 0))
+        slot = slot[left]
+        while len(left):
+            slot = self._next(slot)
+            there = self.keys[slot]
+            same = there == keys[left]
+            out[left[same]] = self.at[slot[same]]
+            more = ~same & (there >= 0)
+            left, slot = left[more], slot[more]
+        return out
+
+
+_compiled: dict[str, list[tuple[_Places, _Places]]] = {}
+
+
+def _tables(model: dict) -> list[tuple[_Places, _Places]]:
+    """Hash tables of the model's grams and contexts, kept for the worker's next task."""
     if model["id"] not in _compiled:
-        order = model["order"]
-        seen = np.zeros(256, bool)
-        seen[0x0A] = True
-        for grams, _ in model["grams"]:
-            for k in range(order + 1):
-                seen[np.unique(grams >> (8 * k) & 255)] = True
-        size = int(seen.sum()) + 1  # the last symbol stands for each byte that was never seen
-        symbol = np.full(256, size - 1, np.int32)
-        symbol[seen] = np.arange(size - 1)
-        tables = []
-        for grams, n in model["grams"]:
-            at = np.zeros(len(grams), np.int64)
-            for k in range(order, -1, -1):
-                at = at * size + symbol[grams >> (8 * k) & 255]
-            counts = np.zeros(size ** (order + 1))
-            np.add.at(counts, at, n)
-            shorter = np.full(size, 1 / 256)
-            for k in range(order + 1):
-                level = counts.reshape(-1, size ** (k + 1)).sum(0).reshape(-1, size)
-                total, distinct = level.sum(1, keepdims=True), (level > 0).sum(1, keepdims=True)
-                whole = np.maximum(total + distinct, 1)
-                escape = np.where(total > 0, distinct / whole, 1.0)
-                back = shorter.reshape(-1, size) if k else shorter[None, :]
-                back = np.tile(back, (len(level) // len(back), 1))
-                shorter = np.where(level > 0, level / whole, escape * back).reshape(-1)
-            tables.append((-np.log2(shorter)).astype(np.float32))
         _compiled.clear()
-        _compiled[model["id"]] = (symbol, tables)
+        _compiled[model["id"]] = [(_Places(x["grams"]), _Places(x["contexts"])) for x in model["levels"]]
     return _compiled[model["id"]]
 
 
+def code_lengths(grams: np.ndarray, model: dict) -> np.ndarray:
+    """Bits of the last byte of each gram under each language (grams x languages)."""
+    out = np.zeros((len(grams), len(model["langs"])), np.float32)
+    left, tables = np.arange(len(grams)), _tables(model)
+    for k in range(model["order"], -1, -1):
+        level, (places, contexts) = model["levels"][k], tables[k]
+        at = places(_tail(grams[left], k + 1))
+        met = at >= 0
+        out[left[met]] += level["bits"][at[met]]
+        left = left[~met]
+        if not len(left):
+            break
+        at = contexts(_tail(grams[left] >> 8, k))
+        met = at >= 0
+        out[left[met]] += level["escape"][at[met]]
+    else:
+        out[left] += 8
+    return out
+
+
 def score_batch(column: pa.Array, model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Code length in bits of each text under each language (rows x languages), its bytes, and whether it has a letter."""
-    symbol, tables = compile_model(model)
-    order, size = model["order"], int(symbol.max()) + 1
+    order, number = model["order"], len(model["langs"])
     data, offsets = text_buffers(column)
     n = len(offsets) - 1
-    bits = np.zeros((n, len(tables)))
-    letter = np.zeros(n, bool)
+    bits, letter = np.zeros((n, number)), np.zeros(n, bool)
+    chunk = max(1_000, 1_000_000 // max(1, number))
     for lo, hi in slices(offsets, 500_000):
         part, starts = _padded(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], order)
-        sym = symbol[part]
-        code = sym[: len(sym) - order].copy()
+        wide = part.astype(np.int64)
+        grams = wide[: len(wide) - order].copy()
         for k in range(1, order + 1):
-            code *= size
-            code += sym[k : len(sym) - order + k]
-        # the code at i belongs to the byte at i + order; those that straddle two rows are left out of the sums
-        first, last = starts[:-1], starts[1:] - order
-        some = np.flatnonzero(last > first)
-        if not len(some):
-            continue
-        edges = np.stack([first[some], last[some]], 1).reshape(-1)
-        edges = edges[:-1] if edges[-1] >= len(code) else edges
-        for j, table in enumerate(tables):
-            bits[lo + some, j] = np.add.reduceat(table[code], edges, dtype=np.float64)[::2]
-        low = (part >= 97) & (part <= 122)
-        letter[lo + some] = np.logical_or.reduceat(low, starts[:-1][some])
+            grams <<= 8
+            grams |= wide[k : len(wide) - order + k]
+        # the gram at i belongs to the byte at i + order; those that straddle two rows are no row's
+        row = np.repeat(np.arange(hi - lo), np.diff(starts) - order)
+        at = np.arange(len(row)) + order * row
+        for begin in range(0, len(row), chunk):
+            own = row[begin : begin + chunk]
+            edges = np.flatnonzero(np.diff(own, prepend=-1))
+            bits[lo + own[edges]] += np.add.reduceat(code_lengths(grams[at[begin : begin + chunk]], model), edges, axis=0, dtype=np.float64)
+        some = np.flatnonzero(np.diff(starts) > order)
+        if len(some):
+            low = (part >= 97) & (part <= 122)
+            letter[lo + some] = np.logical_or.reduceat(low, starts[:-1][some])
     length = np.diff(offsets)
     for r in np.flatnonzero(~letter & (length > 0)):
         letter[r] = any(c.isalpha() for c in column[int(r)].as_py())
@@ -212,11 +282,11 @@ def keep_identified(docs: DataFrame, max_bits: float = MAX_BITS, min_score: floa
     """The rows of ``docs``, columns unchanged, whose text is in a learned language.
 
     Rows go when they are ``und``, when no language is likelier than ``min_score``, or when even the best one needs over
-    ``max_bits`` bits a byte.
+    ``max_bits`` bits a byte, ``FIRST_BYTES`` bytes more being granted to each text.
     """
     model = learn(docs)
     names = [f"_brachis_{k}" for k in ("pred", "score", "bits")]
     found = predict(docs, model, pred_col=names[0], score_col=names[1], bits_col=names[2])
     if not model["langs"]:
         return docs.limit(0)
-    return found.where((F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= min_score) & (F.col(names[2]) <= max_bits)).select(*docs.columns)
+    return found.where((F.col(names[0]) != UNDETERMINED) & (F.col(names[1]) >= min_score) & (F.col(names[2]) * F.octet_length("text") <= max_bits * (F.octet_length("text") + FIRST_BYTES))).select(*docs.columns)

@@ -56,7 +56,7 @@ def test_code_lengths_match_brute_force(spark):
     rows = corpus()
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     texts = ["", "a", "Lorem dolum", "été über ß 日本", "123 !?", rows[0][1] * 3]
-    for order in (1, 2):
+    for order in (1, 2, 4):
         model = langid.learn(table, order=order)
         assert model["langs"] == ["xx", "yy", "zz"]
         bits, length, letter = langid.score_batch(pa.array(texts), model)
@@ -89,7 +89,24 @@ def test_learns_nothing_from_the_held_out(spark):
     poisoned = [(k, t, {"xx": "yy", "yy": "zz", "zz": "xx"}[lang] if in_test(k) else lang) for k, t, lang in rows]
     schema = "doc_id long, text string, lang string"
     a, b = (langid.learn(spark.createDataFrame(x, schema)) for x in (rows, poisoned))
-    assert all((x[0] == y[0]).all() and (x[1] == y[1]).all() for x, y in zip(a["grams"], b["grams"], strict=True))
+    assert all((x[k] == y[k]).all() for x, y in zip(a["levels"], b["levels"], strict=True) for k in x)
+
+
+def test_places():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 5, 3000):
+        keys = np.unique(rng.integers(0, 1 << 40, n))
+        found = langid._Places(keys)
+        asked = np.concatenate([keys, rng.integers(0, 1 << 40, 500), [0]])
+        want = {x: k for k, x in enumerate(keys.tolist())}
+        assert found(asked).tolist() == [want.get(x, -1) for x in asked.tolist()]
+
+
+def test_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    monkeypatch.setattr(langid, "SAMPLE_ALL", 8)
+    table = spark.createDataFrame([r for r in corpus() if r[2] != "yy" or r[0] % 2], "doc_id long, text string, lang string")
+    assert {r["lang"]: r["count"] for r in langid.sample(table).groupBy("lang").count().collect()} == {"xx": 4, "zz": 4}
 
 
 def test_sample_is_bounded(spark):
