@@ -7,7 +7,7 @@ places, an estimate of the Jaccard similarity of the shingle sets.
 
 Defined results: a null text is empty; a text of fewer words than a shingle is one shingle; wordless texts are all alike
 and like no other text; repeated rows are fingerprinted alike; whole texts count, however long. Documents with the same
-doc_id stand in the order of their texts, null ids after all others.
+doc_id stand in the order of a hash of their texts, null ids after all others; ids may be of any orderable type.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,8 +70,8 @@ def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
-def shingle_hashes(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """32-bit hashes of every shingle of every row, and each row's number of shingles."""
+def shingle_hashes(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of every shingle of every row, of 32 bits or (``wide``) of 64, and each row's number of shingles."""
     part = fold_ascii(data)
     starts, ends, first = word_spans(part, offsets)
     up, down = _power_tables(len(part) + 1)
@@ -88,7 +87,7 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE
     for k in range(shingle):
         there = at + k < last
         total += np.where(there, words[np.minimum(at + k, len(words) - 1)], 0).astype(np.uint64) * np.uint64(_BASE + 2 * k * k + 2 * k) if len(words) else 0
-    return (_mix(total) >> np.uint64(32)).astype(np.uint32), n
+    return (_mix(total) if wide else (_mix(total) >> np.uint64(32)).astype(np.uint32)), n
 
 
 def minhash_batch(column: pa.Array, permutations: int = PERMUTATIONS, shingle: int = SHINGLE) -> np.ndarray:
@@ -137,32 +136,28 @@ def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(block, guest, doc_id, text): the documents in blocks by descending doc_id, so that each row's successor is the next.
 
     Rows of a block are in one partition and in order; after them stands, as a guest, the first row of the next block (for
-    the last block, of the first). Block edges are approximate quantiles, so texts are shuffled once and never gathered.
+    the last block, of the first). Blocks begin where the range partitions of ids and text hashes begin, so that rows of one
+    id are dealt to several; texts are shuffled once and never gathered.
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    ids = given.select(F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))).alias("at"))
+    # the larger key stands first: larger ids, then smaller hashes; a null id is smaller than any other
+    key = F.struct("doc_id", F.bitwise_not(F.xxhash64("text")).alias("tie"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     blocks = blocks or 4 * parts
-    cuts = sorted(set(ids.where(F.col("at") > float("-inf")).approxQuantile("at", [k / blocks for k in range(1, blocks)], 0.25 / blocks)))
-    bucket = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="at", outputCol="block") if cuts else None
-
-    def blocked(df):
-        placed = df.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("-inf"))))
-        placed = bucket.transform(placed) if bucket else placed.withColumn("block", F.lit(0.0))
-        return placed.withColumn("block", F.col("block").cast("int")).drop("at")
-
-    heads = {r[0]: r[1] for r in blocked(given.select("doc_id")).groupBy("block").agg(F.max("doc_id")).collect()}  # one row a block
-    order = sorted(heads, reverse=True)
-    rows = [(b, heads[b], order[k - 1]) for k, b in enumerate(order)]
+    thin = given.select(key.alias("key")).repartitionByRange(blocks, F.col("key").desc())
+    heads = thin.groupBy(F.spark_partition_id().alias("part")).agg(F.max("key").alias("key")).select("key.doc_id", "key.tie").distinct().collect()  # one row a block
     kind = given.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("head", kind), T.StructField("to", T.IntegerType())])
-    sent = blocked(given).join(F.broadcast(spark.createDataFrame(rows, schema)), "block")
+    heads = sorted(heads, key=lambda r: (r.doc_id is not None, r.doc_id if r.doc_id is not None else 0, r.tie), reverse=True)
+    table = F.array(*(F.struct(F.lit(r.doc_id).cast(kind).alias("doc_id"), F.lit(r.tie).alias("tie")) for r in heads)) if heads else F.array().cast(T.ArrayType(given.select(key.alias("key")).schema["key"].dataType))
+    block = F.size(F.filter(table, lambda h: h >= F.col("key"))) - 1
+    placed = given.withColumn("key", key).withColumn("block", block)
     own = F.struct(F.col("block"), F.lit(False).alias("guest"))
-    away = F.struct(F.col("to").alias("block"), F.lit(True).alias("guest"))
-    sent = sent.select("doc_id", "text", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("head")), F.array(own, away)).otherwise(F.array(own))).alias("p"))
-    dealt = sent.select("p.block", "p.guest", "doc_id", "text").repartition(parts, "block")
-    return dealt.sortWithinPartitions("block", "guest", F.col("doc_id").desc_nulls_last(), "text")
+    away = F.struct(F.pmod(F.col("block") - 1, F.lit(max(1, len(heads)))).alias("block"), F.lit(True).alias("guest"))
+    head = F.element_at(table, F.col("block") + 1) == F.col("key")
+    sent = placed.select("doc_id", "text", "key", F.explode(F.when(head, F.array(own, away)).otherwise(F.array(own))).alias("p"))
+    dealt = sent.select("p.block", "p.guest", "doc_id", "text", "key").repartition(parts, "block")
+    return dealt.sortWithinPartitions("block", "guest", F.col("key").desc(), "text").select("block", "guest", "doc_id", "text")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = 3) -> DataFrame:
@@ -231,7 +226,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack: float
     Documents with equal signatures are one class from the start and one of them stands for it. Signature bands bring
     representatives to shared buckets; a bucket is compared part by part, members streaming past the part in memory, and
     gives a spanning forest of the pairs whose signatures agree within ``slack`` of the threshold. Each such link is then
-    verified on the exact shingle sets. As links that fail may have stood for pairs that would not, the buckets are compared
+    verified on the sets of all shingles, known by 64-bit hashes. As links that fail may have stood for pairs that would not, the buckets are compared
     once more and give all such pairs that the verified links do not join, which are verified too. Rows with a null id are left out.
     """
     least = int(np.ceil((threshold - slack) * PERMUTATIONS))
@@ -304,9 +299,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack: float
     def sets(batches):
         for batch in batches:
             data, offsets = text_buffers(batch.column(1))
-            hashes, n = shingle_hashes(data, offsets)
+            hashes, n = shingle_hashes(data, offsets, wide=True)
             cuts = np.cumsum(n) - n
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.unique(hashes[c : c + m]).astype(np.int64) for c, m in zip(cuts, n, strict=True)], pa.list_(pa.int64()))], names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.unique(hashes[c : c + m]).view(np.int64) for c, m in zip(cuts, n, strict=True)], pa.list_(pa.int64()))], names=["doc_id", "shingles"])
 
     set_schema = T.StructType([T.StructField("doc_id", kind), T.StructField("shingles", T.ArrayType(T.LongType()))])
 

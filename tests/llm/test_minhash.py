@@ -1,5 +1,7 @@
 import hashlib
+import itertools
 import re
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,46 @@ def test_signatures(words):
             assert abs((together[i] == together[j]).mean() - jaccard(shingles(a), shingles(b))) < 0.2, (i, j)
 
 
+def test_fingerprints_by_plain_numbers():
+    """The definition, one number at a time."""
+    full = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ (x >> 33)) * 0xFF51AFD7ED558CCD & full
+        x = (x ^ (x >> 33)) * 0xC4CEB9FE1A85EC53 & full
+        return x ^ (x >> 33)
+
+    base = 0x9E3779B97F4A7C15
+    rng = np.random.default_rng(42)
+    a = (rng.integers(0, 1 << 31, 128, dtype=np.uint32) * np.uint32(2) + np.uint32(1)).tolist()
+    b = rng.integers(0, 1 << 32, 128, dtype=np.uint32).tolist()
+    for text in ("One two three four five six SEVEN", "é 日本", "a\tb\nc d  e f", " ", "x " * 50 + "end"):
+        sets = shingles(text)
+        low = [0xFFFFFFFF] * 128
+        for words_of in sets:
+            hashes = [mix((sum((byte + 1) * pow(base, i, 1 << 64) for i, byte in enumerate(w.encode())) + len(w.encode())) & full) for w in words_of]
+            x = mix(sum(h * (base + 2 * k * k + 2 * k) for k, h in enumerate(hashes)) & full) >> 32
+            low = [min(m, (x * p + q) & 0xFFFFFFFF) for m, p, q in zip(low, a, b)]
+        want = [(m * 0x85EBCA6B & 0xFFFFFFFF) >> 16 for m in low]
+        assert minhash.minhash_batch(pa.array([text]))[0].tolist() == want
+
+
+def test_ids_of_any_type_and_repeated_ones(spark, words):
+    """Every row has the next one of its own order, whatever the blocks; equal ids stand by the hash of their texts."""
+    for kind, ids in (("string", [f"id{k % 7}" for k in range(60)]), ("long", [k % 3 for k in range(60)]), ("decimal(20,0)", [None if k % 5 == 0 else Decimal(k) for k in range(60)])):
+        rows = [(i, words(3 + k % 17, k)) for k, i in enumerate(ids)] + [(ids[0], words(3, 0))] * 2
+        docs = spark.createDataFrame(rows, f"doc_id {kind}, text string").repartition(3)
+        hashed = [(r.doc_id, r.text, r.h) for r in docs.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()]
+        order = sorted(sorted(hashed, key=lambda r: r[2]), key=lambda r: (r[0] is not None, r[0] if r[0] is not None else 0), reverse=True)
+        order = [r for _, group in itertools.groupby(order, key=lambda r: r[0]) for r in sorted(group, key=lambda r: r[2])]
+        want = []
+        for k, (_, text, _) in enumerate(order):
+            after = order[(k + 1) % len(order)][1]
+            n = len(text)
+            want.append(hashlib.sha256((text[: n - n // 3] + after[: n // 3]).encode()).hexdigest())
+        assert sorted(r.edited_sha256 for r in minhash.edited_fingerprints(docs).collect()) == sorted(want)
+
+
 def test_edited_fingerprints(spark, words):
     rows = corpus(words)
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("block", F.lit("clash")).withColumn("guest", F.lit(True))
@@ -67,6 +109,7 @@ def test_near_duplicates(spark, words):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     known = {k: shingles(t) for k, t in rows if k is not None}
     want = {k: min(j for j in known if jaccard(known[j], known[k]) >= 0.8) for k in known}
+    assert minhash.near_duplicates(docs.limit(0)).count() == 0
     for tile in (1, 4096):
         got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, sub_tile=tile).collect()}
         assert got == want
