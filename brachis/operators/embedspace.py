@@ -1,7 +1,8 @@
 """Embedding space: pooling, principal components, clusters, dispersion.
 
 Vectors are arrays of numbers. Components are fitted from moments summed over any number of tasks, so a family of any size
-is never gathered; only clustering, whose distances are quadratic, holds a family in one task and refuses larger ones.
+is never gathered. Clustering compares all pairs: a small family in one task, a large one tile against tile, whose spanning
+forests are merged; only the one tree of a family, as many edges as it has members, is one task's work.
 """
 
 from __future__ import annotations
@@ -10,14 +11,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.identifiers import split_tip
 from ..functions.sequences import for_embedding
 
+#: Members of a family that one task clusters by itself, and of a tile of a larger one.
 MAX_FAMILY = 20_000
+TILE = 4_000
 
 
 #: Embedding back ends by name: of the settings, a function of a list of cleaned sequences that gives a matrix of vectors.
@@ -137,15 +140,18 @@ def dispersion(points: DataFrame, clades: DataFrame, by: str = "hmm", vector: st
     return out.where(F.col("n") >= least)
 
 
-def _spanning_tree(x: np.ndarray, core: np.ndarray) -> np.ndarray:
-    """Edges (a, b, weight) of a minimum spanning tree of mutual reachability distances, by weight."""
+def _spanning_tree(x: np.ndarray, core: np.ndarray, side: np.ndarray | None = None) -> np.ndarray:
+    """Edges (a, b, weight) of a minimum spanning tree of mutual reachability distances, by weight; with ``side`` only edges
+    between the two sides count."""
     n = len(x)
     best, source, inside = np.full(n, np.inf), np.zeros(n, np.int64), np.zeros(n, bool)
-    edges, at = np.empty((n - 1, 3)), 0
+    edges, at = np.empty((max(n - 1, 0), 3)), 0
     for k in range(n - 1):
         inside[at] = True
         reach = np.maximum(np.maximum(np.sqrt(((x - x[at]) ** 2).sum(1)), core), core[at])
         closer = ~inside & (reach < best)
+        if side is not None:
+            closer &= side != side[at]
         best[closer], source[closer] = reach[closer], at
         nearest = int(np.where(inside, np.inf, best).argmin())
         edges[k] = source[nearest], nearest, best[nearest]
@@ -153,6 +159,23 @@ def _spanning_tree(x: np.ndarray, core: np.ndarray) -> np.ndarray:
     return edges[np.argsort(edges[:, 2], kind="stable")]
 
 
+def _spanning_forest(a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Positions of the edges of a minimum spanning forest, by weight, then ends."""
+    up: dict[int, int] = {}
+    kept = []
+    for k in np.lexsort((b, a, weight)).tolist():
+        roots = []
+        for v in (int(a[k]), int(b[k])):
+            while (w := up.get(v, v)) != v:
+                up[v] = up.get(w, w)
+                v = up[v]
+            roots.append(v)
+        if roots[0] != roots[1]:
+            up[roots[0]] = roots[1]
+            kept.append(k)
+    return np.array(kept, np.int64)
+
+
 def density_clusters(x: np.ndarray, min_cluster_size: int = 5, min_samples: int | None = None) -> np.ndarray:
     """Hierarchical density clusters by excess of mass, numbered from 0 in order of their first point; -1 is noise.
 
@@ -163,9 +186,15 @@ def density_clusters(x: np.ndarray, min_cluster_size: int = 5, min_samples: int
     if n < max(2, min_cluster_size, k):
         return labels
     core = np.array([np.partition(np.sqrt(((x - p) ** 2).sum(1)), k - 1)[k - 1] for p in x])
+    return tree_clusters(_spanning_tree(x, core), n, min_cluster_size)
+
+
+def tree_clusters(tree: np.ndarray, n: int, min_cluster_size: int = 5) -> np.ndarray:
+    """``density_clusters`` of n points from the edges (a, b, weight) of their spanning tree, by weight."""
+    labels = np.full(n, -1)
     # the merge tree: nodes below n are points, node n + i is made by the i-th edge
     up, left, right, height, size = list(range(2 * n - 1)), {}, {}, {}, [1] * n + [0] * (n - 1)
-    for i, (a, b, w) in enumerate(_spanning_tree(x, core)):
+    for i, (a, b, w) in enumerate(tree):
         roots = []
         for v in (int(a), int(b)):
             while up[v] != v:
@@ -238,19 +267,83 @@ def density_clusters(x: np.ndarray, min_cluster_size: int = 5, min_samples: int
     return labels
 
 
-def cluster(vectors: DataFrame, min_cluster_size: int = 5, by: str = "hmm", max_family: int = MAX_FAMILY) -> DataFrame:
-    """(by, tip, cluster_id) of each family's ``vectors(by, tip, vector)``; a family of over ``max_family`` rows is an error."""
+def cluster(vectors: DataFrame, min_cluster_size: int = 5, by: str = "hmm", max_family: int = MAX_FAMILY, tile: int = TILE) -> DataFrame:
+    """(by, tip, cluster_id) of each family's ``vectors(by, tip, vector)``; families of over ``max_family`` rows by tiles.
+
+    Both ways give the same clusters but where distances tie.
+    """
     kind = vectors.schema[by].dataType
     schema = T.StructType([T.StructField(by, kind), T.StructField("tip", T.StringType()), T.StructField("cluster_id", T.IntegerType())])
-    sizes = vectors.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
-    checked = vectors.join(sizes, by).where(F.when(F.col("_n") > max_family, F.raise_error(F.concat(F.lit("family too large to cluster: "), F.col(by).cast("string"))).cast("boolean")).otherwise(True)).drop("_n")
+    rows = vectors.select(by, F.col("tip").cast("string").alias("tip"), F.col("vector").cast("array<double>").alias("vector"))
+    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
+    large = sizes.where(F.col("_n") > max_family)
+    small = rows.join(large, by, "left_anti") if (counted := large.agg(F.max("_n")).first()[0]) else rows
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("tip")
         found = density_clusters(np.array(part["vector"].tolist(), np.float64), min_cluster_size)
-        return pd.DataFrame({by: part[by], "tip": part["tip"].astype(str), "cluster_id": found.astype(np.int32)})
-
-    return checked.select(by, "tip", "vector").groupBy(by).applyInPandas(run, schema)
+        return pd.DataFrame({by: part[by], "tip": part["tip"], "cluster_id": found.astype(np.int32)})
+
+    out = small.groupBy(by).applyInPandas(run, schema)
+    return out.unionByName(_tiled_clusters(rows.join(large, by, "left_semi"), min_cluster_size, by, tile, counted)) if counted else out
+
+
+def _tiled_clusters(rows: DataFrame, min_cluster_size: int, by: str, tile: int, largest: int) -> DataFrame:
+    """``cluster`` of large families: nearest neighbours and spanning forests by pairs of tiles, merged two by two."""
+    kind = rows.schema[by].dataType
+    field = lambda name, t: T.StructField(name, t)
+    place = F.row_number().over(Window.partitionBy(by).orderBy("tip")) - 1
+    numbered = rows.select(by, "tip").withColumn("i", place.cast("long"))  # ids alone are numbered
+    points = rows.join(numbered, [by, "tip"])
+    home, tiles = F.floor(F.col("i") / tile), -(-largest // tile)
+
+    def paired(table: DataFrame) -> DataFrame:
+        """Every point with every tile of its family."""
+        last = table.groupBy(by).agg(F.max(home).alias("_last"))
+        met = table.join(F.broadcast(last), by).withColumn("_o", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last"))))
+        return met.withColumns({"lo": F.least(home, "_o"), "hi": F.greatest(home, "_o"), "own": home}).drop("_o", "_last")
+
+    def near(part: pd.DataFrame) -> pd.DataFrame:
+        x, i, low = np.array(part["vector"].tolist()), part["i"].to_numpy(), (part["own"] == part["lo"]).to_numpy()
+        sides = [(low, low)] if part["lo"].iloc[0] == part["hi"].iloc[0] else [(low, ~low), (~low, low)]
+        found = []
+        for a, b in sides:
+            other, k = x[b], min(min_cluster_size, int(b.sum()))
+            found += [(j, np.sort(np.partition(np.sqrt(((other - p) ** 2).sum(1)), k - 1)[:k]).tolist()) for j, p in zip(i[a].tolist(), x[a])]
+        return pd.DataFrame([(part[by].iloc[0], *f) for f in found], columns=[by, "i", "near"])
+
+    near_schema = T.StructType([field(by, kind), field("i", T.LongType()), field("near", T.ArrayType(T.DoubleType()))])
+    listed = paired(points).select(by, "lo", "hi", "own", "i", "vector").groupBy(by, "lo", "hi").applyInPandas(near, near_schema)
+    core = listed.groupBy(by, "i").agg(F.get(F.array_sort(F.flatten(F.collect_list("near"))), F.lit(min_cluster_size - 1)).alias("core"))
+    edge_schema = T.StructType([field(by, kind), field("lo", T.LongType()), field("hi", T.LongType()), field("a", T.LongType()), field("b", T.LongType()), field("weight", T.DoubleType())])
+
+    def frame(part: pd.DataFrame, a, b, weight) -> pd.DataFrame:
+        return pd.DataFrame({by: part[by].iloc[0], "lo": part["lo"].iloc[0], "hi": part["hi"].iloc[0], "a": a, "b": b, "weight": weight}, columns=edge_schema.names)
+
+    def spanned(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("i")
+        x, i, one = np.array(part["vector"].tolist()), part["i"].to_numpy(), part["lo"].iloc[0] == part["hi"].iloc[0]
+        edges = _spanning_tree(x, part["core"].to_numpy(), None if one else (part["own"] == part["lo"]).to_numpy())
+        ends = np.sort(i[edges[:, :2].astype(np.int64)], axis=1)
+        return frame(part, ends[:, 0], ends[:, 1], edges[:, 2])
+
+    def merged(part: pd.DataFrame) -> pd.DataFrame:
+        a, b, w = (part[c].to_numpy() for c in ("a", "b", "weight"))
+        kept = _spanning_forest(a, b, w)
+        return frame(part, a[kept], b[kept], w[kept])
+
+    edges = paired(points.join(core, [by, "i"])).select(by, "lo", "hi", "own", "i", "vector", "core").groupBy(by, "lo", "hi").applyInPandas(spanned, edge_schema)
+    while tiles > 1:  # four pairs of tiles become one of tiles twice as large, with half as many edges
+        tiles = -(-tiles // 2)
+        edges = edges.withColumns({"lo": F.floor(F.col("lo") / 2), "hi": F.floor(F.col("hi") / 2)}).groupBy(by, "lo", "hi").applyInPandas(merged, edge_schema)
+
+    def label(part: pd.DataFrame) -> pd.DataFrame:
+        tree = part.sort_values(["weight", "a", "b"])[["a", "b", "weight"]].to_numpy(np.float64)
+        found = tree_clusters(tree, len(tree) + 1, min_cluster_size)
+        return pd.DataFrame({by: part[by].iloc[0], "i": np.arange(len(found)), "cluster_id": found.astype(np.int32)})
+
+    labelled = edges.groupBy(by).applyInPandas(label, T.StructType([field(by, kind), field("i", T.LongType()), field("cluster_id", T.IntegerType())]))
+    return numbered.join(labelled, [by, "i"]).select(by, "tip", "cluster_id")
 
 
 def cluster_counts(assigned: DataFrame, by: str = "hmm") -> DataFrame:

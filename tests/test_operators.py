@@ -214,8 +214,11 @@ def test_density_clusters(spark):
     assert set(embedspace.density_clusters(np.zeros((8, 2)), 5)) <= {-1, 0}
     rows = frame(spark, [("h", f"t{k}", v.tolist()) for k, v in enumerate(x)], "hmm string, tip string, vector array<double>")
     assert tuple(embedspace.cluster_counts(embedspace.cluster(rows)).first())[:2] == ("h", 3)
-    with pytest.raises(Exception, match="too large"):
-        embedspace.cluster(rows, max_family=10).collect()
+    # the same by tiles, beside a family that one task clusters
+    both = rows.unionByName(frame(spark, [("s", f"u{k}", [float(k), 0.0]) for k in range(9)], "hmm string, tip string, vector array<double>"))
+    plain = sorted(map(tuple, embedspace.cluster(both).collect()))
+    for tile in (7, 16, 100):
+        assert sorted(map(tuple, embedspace.cluster(both, max_family=10, tile=tile).collect())) == plain
 
 
 def test_pooling(spark):
