@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import identifiers as ids
 from ..functions import sequences as seq
 from ..operators import ancestral, codon, embedspace, hits, members, motifs, neighbourhood, sites, taxonomy
+from . import catalogue_files
 
 TIES = ("hmm", "ok", "ln", "sd", "evalue", "coverage")
 
@@ -304,3 +305,6 @@ SELECT label, count(*) n, round(avg(d),6) mean_d, round(median(d),6) median_d FR
     "q25_motif_rows": "WITH d AS (SELECT lang hmm, cast(doc_id as varchar) seq_id, doc_id, translate(text,'*-X','') s FROM documents), m AS (SELECT * FROM d, (VALUES ('the'),('ß')) v(motif) WHERE length(s)>=10), p AS (SELECT *, list_filter(range(0, greatest(length(s)-length(motif)+1,0)), lambda i: substr(s,i+1,length(motif))=motif) pos FROM m) SELECT hmm, seq_id, motif, len(pos)>0 motif_present, coalesce(cast(quality as varchar),'') clade_id, 'modern' AS type, cast(greatest(len(pos),1) as bigint) n_rows, coalesce(list_min(pos),-1) first_start, coalesce(list_max(pos)+length(motif),-1) last_end FROM p LEFT JOIN labels ON labels.doc_id=p.doc_id",
     "q26_ancestral_rows": "WITH e AS (SELECT user_id u, event_id%17 site, arg_max(substr(event_type,1,1), event_id) st FROM events GROUP BY ALL), l AS (SELECT u, max(site) last FROM e WHERE site>=1 GROUP BY u), g AS (SELECT u, unnest(range(1,last+1)) site FROM l), s AS (SELECT g.u, string_agg(coalesce(st,'X'),'' ORDER BY g.site) q FROM g LEFT JOIN e ON e.u=g.u AND e.site=g.site GROUP BY g.u) SELECT 'f' hmm, cast(u as varchar) node, concat('ANC|f_',u) tip, q sequence FROM s WHERE length(translate(q,'-X',''))>=3",
 }
+
+QUERIES |= catalogue_files.QUERIES
+ORACLE_SQL |= catalogue_files.ORACLE_SQL
