@@ -11,6 +11,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,8 @@ from ..functions.sequences import for_embedding
 #: Members of a family that one task clusters by itself, and of a tile of a larger one.
 MAX_FAMILY = 20_000
 TILE = 4_000
+#: Rows of a family whose moments one task sums.
+MOMENT_ROWS = 50_000
 
 
 #: Embedding back ends by name: of the settings, a function of a list of cleaned sequences that gives a matrix of vectors.
@@ -63,14 +67,21 @@ def n_components(wanted: int, dims: int, rows: int) -> int:
     return min(max(2, wanted), dims, max(2, rows - 1))
 
 
-def _moments(keys: list[str]):
+def _moments(by: str):
+    """Sums of each family's rows and of their outer products, the rows of a family being together: one at a time is held."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, n, total, square = None, 0, 0.0, 0.0
+        row = lambda: pd.DataFrame([(key, n, total.tolist(), square.ravel().tolist())], columns=[by, "n", "total", "square"])
         for batch in batches:
-            rows = []
-            for key, part in batch.groupby(keys, dropna=False, sort=False):
+            for name, part in batch.groupby(by, dropna=False, sort=False):
+                if n and name != key:
+                    yield row()
+                    n, total, square = 0, 0.0, 0.0
                 x = np.array(part["vector"].tolist(), np.float64)
-                rows.append((*key, len(x), x.sum(0).tolist(), (x.T @ x).ravel().tolist()))
-            yield pd.DataFrame(rows, columns=[*keys, "n", "total", "square"])
+                key, n, total, square = name, n + len(x), total + x.sum(0), square + x.T @ x
+        if n:
+            yield row()
 
     return run
 
@@ -83,7 +94,12 @@ def fit_pca(vectors: DataFrame, components: int = 3, by: str = "hmm", least: int
     kind = vectors.schema[by].dataType
     double = T.ArrayType(T.DoubleType())
     partial = T.StructType([T.StructField(by, kind), T.StructField("n", T.LongType()), T.StructField("total", double), T.StructField("square", double)])
-    sums = vectors.select(by, F.col("vector").cast("array<double>").alias("vector")).dropna().mapInPandas(_moments([by]), partial)
+    rows = vectors.select(by, F.col("vector").cast("array<double>").alias("vector")).dropna()
+    # a family's rows come together, large ones in several parts, so that there are few matrices and not one a batch
+    sizes = rows.groupBy(by).agg(F.ceil(F.count(F.lit(1)) / MOMENT_ROWS).cast("int").alias("_parts"))
+    dealt = rows.join(sizes, by).withColumn("_part", F.pmod(F.xxhash64("vector"), F.col("_parts").cast("long")))
+    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sums = dealt.repartition(parts, by, "_part").sortWithinPartitions(by, "_part").select(by, "vector").mapInPandas(_moments(by), partial)
 
     def solve(part: pd.DataFrame) -> pd.DataFrame:
         n = int(part["n"].sum())
@@ -128,12 +144,11 @@ def layout_2d(vectors: DataFrame, by: str = "hmm") -> DataFrame:
 def dispersion(points: DataFrame, clades: DataFrame, by: str = "hmm", vector: str = "pc", least: int = 3) -> DataFrame:
     """(by, clade, n, mean_dist_to_centroid, median_dist_to_centroid) of clades with at least ``least`` points.
 
-    ``clades(clade, tip)``: a tip counts in each of its clades. The centroid is averaged dimension by dimension, so no clade is gathered.
+    ``clades(clade, tip)``: a tip counts in each of its clades. The centroid is summed over tasks, so no clade is gathered.
     """
     inside = points.select(by, "tip", F.col(vector).alias("v")).join(clades.select("clade", "tip").distinct(), "tip")
-    long = inside.select(by, "clade", F.posexplode("v").alias("j", "x"))
-    centre = long.groupBy(by, "clade", "j").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    centre = centre.groupBy(by, "clade").agg(F.transform(F.array_sort(F.collect_list(F.struct("j", "m"))), lambda s: s["m"]).alias("c"))
+    dense = array_to_vector(F.col("v").cast("array<double>"))
+    centre = inside.groupBy(by, "clade").agg(vector_to_array(Summarizer.mean(dense)).alias("c"))
     square = F.zip_with("v", "c", lambda a, b: (a.cast("double") - b) * (a.cast("double") - b))
     far = inside.join(centre, [by, "clade"]).withColumn("d", F.sqrt(F.aggregate(square, F.lit(0.0), lambda acc, x: acc + x)))
     out = far.groupBy(by, "clade").agg(F.count(F.lit(1)).alias("n"), F.avg("d").alias("mean_dist_to_centroid"), F.median("d").alias("median_dist_to_centroid"))

@@ -202,6 +202,15 @@ def test_pca_and_dispersion(spark):
     assert embedspace.coordinates(embedspace.project(rows, fitted), 3).columns == ["hmm", "tip", "genome", "protein", "PC1", "PC2", "PC3"]
 
 
+def test_pca_of_families_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    rows = frame(spark, [(f"h{k % 3}", f"g|{k}", rng.normal(size=4).tolist()) for k in range(120)] + [("h0", "g|null", None)], "hmm string, tip string, vector array<double>").repartition(5)
+    key = lambda r: (r.hmm, r.n, np.round(r.mean, 9).tolist(), np.round(r.explained_variance_ratio, 9).tolist())
+    whole = sorted(key(r) for r in embedspace.fit_pca(rows).collect())
+    monkeypatch.setattr(embedspace, "MOMENT_ROWS", 7)
+    assert sorted(key(r) for r in embedspace.fit_pca(rows).collect()) == whole and [w[1] for w in whole] == [40, 40, 40]
+
+
 def test_density_clusters(spark):
     rng = np.random.default_rng(0)
     x = np.concatenate([rng.normal(c, 0.2, (20, 2)) for c in ((0, 0), (5, 5), (0, 8))] + [np.array([[20.0, -20.0]])])
