@@ -113,8 +113,9 @@ def scan(docs: DataFrame, phrases: dict[str, str] | None = None, templates: tupl
     words_of = lambda block: F.filter(F.split(block, GAP), lambda w: w != "")
     shingles_of = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - SHINGLE + 1, F.lit(1))), lambda i: F.array_join(F.slice(w, i, F.lit(SHINGLE)), " "))
     table = F.array(*map(F.lit, vocabulary))
-    paragraphs = F.filter(F.split("low", BLANK), hears)
-    cut = F.transform(paragraphs, lambda block: F.array_intersect(shingles_of(words_of(block)), table))
+    # words are put into an array first: inside the next lambda they are a value, not an expression for each shingle
+    paragraphs = F.transform(F.filter(F.split("low", BLANK), hears), words_of)
+    cut = F.transform(paragraphs, lambda words: F.array_intersect(shingles_of(words), table))
     blocks = F.when(hears(F.col("low")), F.filter(cut, lambda x: F.size(x) >= least)).otherwise(F.array().cast("array<array<string>>"))
     seen = one.select("doc_id", F.monotonically_increasing_id().alias("row"), F.when(F.col("norm") == "  ", 0).otherwise(spaces(F.col("norm")) - 1).cast("long").alias("n_words"), *base, blocks.alias("blocks"))
     seen = stage_table(seen, "license-scan")
