@@ -44,3 +44,41 @@ def test_fields(spark):
     got = attribution.field_tokens(docs, ["a", "b", "c"]).orderBy("section").collect()
     assert [(r.start, r.end) for r in got] == [(0, 11), (11, 12), (12, 28)]
     assert sum(r.n_tokens for r in got) == len(spans("Title here\n\nbody of the text"))
+
+
+def by_hand(text, rule):
+    """Token by token over the bytes of the text: n_tokens and n_crossing of each line."""
+    encoding, _ = attribution._encoding(attribution.ranks_path())
+    raw = text.encode()
+    edges = [0, *(i + 1 for i, c in enumerate(raw[:-1]) if c == 0x0A), len(raw)]
+    of = lambda place: max((k for k in range(len(edges) - 1) if edges[k] <= place), default=0)
+    counts, crossing, at = [0] * (len(edges) - 1), [0] * (len(edges) - 1), 0
+    for token in encoding.encode_ordinary(text):
+        size = len(encoding.decode_single_token_bytes(token))
+        owners = [of(k) for k in range(at, at + size)]
+        best = max(sorted(set(owners)), key=owners.count)
+        owner = {"start": owners[0], "end": owners[-1], "most": best}[rule]
+        counts[owner] += 1
+        crossing[owner] += owners[0] != owners[-1]
+        at += size
+    assert at == len(raw)
+    return counts, crossing
+
+
+def test_rules_against_every_byte(spark, words):
+    texts = {1: "a\n\n\n\nb\n\n", 2: "é日本\n\nß ñ\n \n  x", 3: "\n" * 40 + "end", 4: words(300, 3).replace("w1", "\n\n "), 5: "😀\n\t\n\t\n"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    crossed = 0
+    for rule in attribution.RULES:
+        got = attribution.section_tokens(docs, rule).collect()
+        for doc_id, text in texts.items():
+            own = sorted((r for r in got if r.doc_id == doc_id), key=lambda r: r.section)
+            assert ([r.n_tokens for r in own], [r.n_crossing for r in own]) == by_hand(text, rule), (rule, doc_id)
+            crossed += sum(r.n_crossing for r in own)
+    assert crossed > 10
+
+
+def test_one_long_line(spark, words):
+    text = words(60_000, 4)
+    rows = attribution.section_tokens(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert [(r.start, r.end, r.n_tokens, r.n_crossing) for r in rows] == [(0, len(text), len(spans(text)), 0)]

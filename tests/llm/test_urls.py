@@ -45,6 +45,14 @@ def test_redirect_chains_through_unseen_urls(spark):
     assert got[13].verdict == "block" and got[14].verdict == "allow"
 
 
+def test_null_ids_and_long_values(spark):
+    path, filler = "/fr/" + "p" * 100_000, "<p>" * 100_000
+    pages = [(None, f"http://o.org{path}?q#f", None), (None, "http://bad.net/", ""), (1, "http://long.com/", f'{filler}<link rel="canonical" href="http://bad.net/{path}">'), (None, None, None)]
+    rows = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = [(r.page_id, r.host, len(r.path), r.rule, r.verdict) for r in urls.judge(rows, urls.rule_table(spark)).collect()]
+    assert sorted(got, key=repr) == sorted([(None, "o.org", len(path), "org/fr/", "allow"), (None, "bad.net", 1, "net/", "block"), (1, "long.com", 1, None, "block"), (None, "", 0, None, "allow")], key=repr)
+
+
 def test_empty(spark):
     assert judged(spark, pages=[]) == {}
 
