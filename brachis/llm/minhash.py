@@ -18,6 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,7 +30,10 @@ from .components import connected_components
 SHINGLE = 5
 PERMUTATIONS = 128
 THRESHOLD = 0.8
-BANDS, BAND_ROWS = 25, 5
+#: A pair at the threshold shares a band with probability 0.9992.
+BANDS, BAND_ROWS = 18, 5
+#: Documents to be verified that are broadcast by id (some 30 MB); more are joined by shuffle.
+BROADCAST_ENDS = 1_000_000
 #: A bucket's part that one task holds in memory; larger buckets are cut, and every later member meets every part.
 SUB_TILE = 4_096
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -132,12 +137,34 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None) -> DataFrame:
-    """(block, guest, doc_id, text): the documents in blocks by descending doc_id, so that each row's successor is the next.
+def _packed(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """``rows`` with the text, or null, compressed: what is shuffled is two thirds of what Spark makes of it."""
+    at, names = rows.columns.index(text_col), list(rows.columns)
+    fields = [T.StructField(f.name, T.BinaryType()) if f.name == text_col else f for f in rows.schema.fields]
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            columns = list(batch.columns)
+            columns[at] = pa.array([None if x is None else pack(x.encode()) for x in columns[at].to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows.mapInArrow(run, T.StructType(fields))
+
+
+def _unpacked(values: list) -> list:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [None if x is None else unpack(x).decode() for x in values]
+
+
+def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None, marks: DataFrame | None = None) -> DataFrame:
+    """(block, guest, doc_id, text, mark): the documents in blocks by descending doc_id, each row's successor being the next,
+    their texts compressed.
 
     Rows of a block are in one partition and in order; after them stands, as a guest, the first row of the next block (for
     the last block, of the first). Blocks begin where the range partitions of ids and text hashes begin, so that rows of one
-    id are dealt to several; texts are shuffled once and never gathered.
+    id are dealt to several; texts are shuffled once and never gathered. ``marks(doc_id, tie, mark)`` come to the rows with
+    that id and text hash: a row without text stands before them and holds the mark.
     """
     spark = docs.sparkSession
     given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -156,35 +183,55 @@ def with_successors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     away = F.struct(F.pmod(F.col("block") - 1, F.lit(max(1, len(heads)))).alias("block"), F.lit(True).alias("guest"))
     head = F.element_at(table, F.col("block") + 1) == F.col("key")
     sent = placed.select("doc_id", "text", "key", F.explode(F.when(head, F.array(own, away)).otherwise(F.array(own))).alias("p"))
-    dealt = sent.select("p.block", "p.guest", "doc_id", "text", "key").repartition(parts, "block")
-    return dealt.sortWithinPartitions("block", "guest", F.col("key").desc(), "text").select("block", "guest", "doc_id", "text")
-
-
-def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = 3) -> DataFrame:
+    sent = _packed(sent.select("p.block", "p.guest", "doc_id", "text", "key"))
+    if marks is None:
+        sent = sent.withColumn("mark", F.lit(None).cast(kind))
+    else:
+        marked = marks.select("doc_id", F.struct("doc_id", F.bitwise_not("tie").alias("tie")).alias("key"), "mark")
+        marked = marked.withColumn("block", block).select("block", F.lit(False).alias("guest"), "doc_id", F.lit(None).cast("binary").alias("text"), "key", "mark")
+        sent = sent.withColumn("mark", F.lit(None).cast(marked.schema["mark"].dataType)).unionByName(marked)
+    dealt = sent.repartition(parts, "block").sortWithinPartitions("block", "guest", F.col("key").desc(), F.col("text").isNotNull())
+    return dealt.select("block", "guest", "doc_id", "text", "mark")
+
+
+def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part: int = 3, classes: DataFrame | None = None) -> DataFrame:
     """Fingerprints of each text and of its edited text, and how like they and the next document's are.
 
     The edited text is the text with its last floor(n_chars / ``part``) code points replaced by as many first ones of the
-    next document by descending doc_id (after the last: the first).
+    next document by descending doc_id (after the last: the first). With ``classes`` of ``document_classes`` each row also
+    has its ``class_id``.
     """
     kind = docs.schema[id_col].dataType
     names = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
     kinds = [T.LongType(), T.StringType(), T.StringType(), T.StringType(), T.DoubleType(), T.DoubleType()]
-    schema = T.StructType([T.StructField("doc_id", kind), *(T.StructField(n, k) for n, k in zip(names, kinds, strict=True))])
+    schema = T.StructType([T.StructField("doc_id", kind), *(T.StructField(n, k) for n, k in zip(names, kinds, strict=True)), T.StructField("class_id", kind)])
 
     def run(batches):
-        held = None  # the last local row, whose successor has not come yet: block, id (one row), text, signature
+        held = None  # the last local row, whose successor has not come yet: block, id (one row), text, signature, mark (one row)
+        last_mark = None
         for batch in batches:
+            # each text takes the mark of the row without text before it
+            text = batch.column(3).is_valid().to_numpy(zero_copy_only=False)
+            marks = batch.column(4) if last_mark is None else pa.concat_arrays([last_mark, batch.column(4)])
+            place = np.where(text, -1, np.arange(len(text)) + (last_mark is not None))
+            place = np.maximum.accumulate(np.concatenate([[0 if last_mark is not None else -1], place]))[1:]
+            taken = marks.take(pa.array(np.maximum(place, 0), mask=place < 0)) if len(marks) else marks
+            last_mark = taken.slice(len(taken) - 1, 1)
+            batch = pa.RecordBatch.from_arrays([*batch.columns[:4], taken], names=["block", "guest", "doc_id", "text", "mark"]).filter(pa.array(text))
+            if not batch.num_rows:
+                continue
             _, offsets = text_buffers(batch.column(3))
-            for lo, hi in slices(offsets, 2_000_000):
+            for lo, hi in slices(offsets, 800_000):
                 some = batch.slice(lo, hi - lo)
                 block, guest = some.column(0).to_pylist(), some.column(1).to_pylist()
-                ids, texts, signatures = some.column(2), some.column(3).to_pylist(), minhash_batch(some.column(3))
+                ids, marked, texts = some.column(2), some.column(4), _unpacked(some.column(3).to_pylist())
+                signatures = minhash_batch(pa.array(texts, pa.large_string()))
                 if held:
                     block, guest, texts = [held[0], *block], [False, *guest], [held[2], *texts]
-                    ids, signatures = pa.concat_arrays([held[1], ids]), np.concatenate([held[3], signatures])
+                    ids, marked, signatures = pa.concat_arrays([held[1], ids]), pa.concat_arrays([held[4], marked]), np.concatenate([held[3], signatures])
                 own = [i for i in range(len(block) - 1) if not guest[i] and block[i] == block[i + 1]]
                 last = len(block) - 1
-                held = (block[last], ids.slice(last, 1), texts[last], signatures[last:]) if not guest[last] else None
+                held = (block[last], ids.slice(last, 1), texts[last], signatures[last:], marked.slice(last, 1)) if not guest[last] else None
                 if not own:
                     continue
                 edited = [texts[i][: len(texts[i]) - len(texts[i]) // part] + texts[i + 1][: len(texts[i]) // part] for i in own]
@@ -199,11 +246,14 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                         pa.array(_hexes(changed)),
                         pa.array((signatures[at] == changed).mean(1)),
                         pa.array((signatures[at] == signatures[at + 1]).mean(1)),
+                        marked.take(pa.array(at)),
                     ],
                     names=schema.names,
                 )
 
-    return with_successors(docs, id_col, text_col).mapInArrow(run, schema)
+    marks = None if classes is None else classes.select("doc_id", "tie", F.col("class_id").alias("mark")).distinct()
+    out = with_successors(docs, id_col, text_col, marks=marks).mapInArrow(run, schema)
+    return out if classes is not None else out.drop("class_id")
 
 
 def _forest(rows: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
@@ -221,30 +271,42 @@ def _forest(rows: np.ndarray, least: int) -> Iterator[tuple[int, int]]:
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack: float = 0.1, id_col: str = "doc_id", text_col: str = "text", sub_tile: int = SUB_TILE) -> DataFrame:
-    """(doc_id, class_id): documents joined by links of Jaccard similarity ``threshold`` or more; the class's smallest id.
+    """(doc_id, class_id) of every row with an id; see ``document_classes``."""
+    return document_classes(docs, threshold, slack, id_col, text_col, sub_tile).where(F.col("doc_id").isNotNull()).select("doc_id", "class_id")
 
-    Documents with equal signatures are one class from the start and one of them stands for it. Signature bands bring
-    representatives to shared buckets; a bucket is compared part by part, members streaming past the part in memory, and
-    gives a spanning forest of the pairs whose signatures agree within ``slack`` of the threshold. Each such link is then
-    verified on the sets of all shingles, known by 64-bit hashes. As links that fail may have stood for pairs that would not, the buckets are compared
-    once more and give all such pairs that the verified links do not join, which are verified too. Rows with a null id are left out.
+
+def document_classes(docs: DataFrame, threshold: float = THRESHOLD, slack: float = 0.1, id_col: str = "doc_id", text_col: str = "text", sub_tile: int = SUB_TILE) -> DataFrame:
+    """(doc_id, tie, class_id): documents joined by links of Jaccard similarity ``threshold`` or more, ``tie`` being the hash of
+    the text; class_id is the class's smallest id, null where it has none.
+
+    Documents with equal signatures are one node from the start. Signature bands bring nodes to shared buckets, those of the
+    same nodes being one; a bucket is compared part by part, nodes streaming past the part in memory, and gives a spanning
+    forest of the pairs whose signatures agree within ``slack`` of the threshold. Each such link is then verified on the sets
+    of all shingles, known by 64-bit hashes. As links that fail may have stood for pairs that would not, the buckets are
+    compared once more and give all such pairs that the verified links do not join, which are verified too.
     """
     least = int(np.ceil((threshold - slack) * PERMUTATIONS))
-    given = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    signed = stage_table(fingerprints(given), "signatures")
-    rep = stage_table(signed.groupBy("signature").agg(F.min("doc_id").alias("rep")), "signature-classes")
-    width = 2 * BAND_ROWS
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.struct(k.alias("band"), F.xxhash64(F.substring("signature", k * width + 1, F.lit(width))).alias("key")))
-    # keys alone are shuffled first: only members of buckets with company carry their signature further
-    keys = rep.select("rep", F.explode(band).alias("b")).select("b.band", "b.key", "rep")
-    shared = keys.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    shared = shared.select("band", "key", F.ceil(F.col("n") / sub_tile).cast("int").alias("subs"))
-    met = keys.join(shared, ["band", "key"]).withColumn("home", F.pmod(F.xxhash64("rep"), F.col("subs").cast("long")).cast("int"))
-    met = met.select("band", "key", F.explode(F.sequence("home", F.col("subs") - 1)).alias("sub"), "home", "rep").join(rep, "rep")
-    met = stage_table(met.select("band", "key", "sub", "home", "rep", "signature"), "minhash-buckets")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
     kind = given.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind)])
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    signed_schema = T.StructType([T.StructField("doc_id", kind), T.StructField("tie", T.LongType()), T.StructField("signature", T.BinaryType())])
+
+    def sign(batches):
+        """The low byte of each place: enough for buckets and likeness, as every link is verified."""
+        for batch in batches:
+            low = (minhash_batch(batch.column(2)) & np.uint16(255)).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in low], pa.binary())], names=signed_schema.names)
+
+    signed = given.select("doc_id", "tie", "text").mapInArrow(sign, signed_schema)
+    same = [F.xxhash64("signature").alias("h1"), F.xxhash64("signature", F.lit(1)).alias("h2")]
+    thin = stage_table(signed.select("doc_id", "tie", *same), "minhash-ids")
+    folded = signed.groupBy(*same).agg(F.first("signature").alias("signature"), F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "tie")).alias("rep"))
+    nodes = stage_table(folded.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
+
+    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("signature", k * BAND_ROWS + 1, F.lit(BAND_ROWS))))
+    keys = nodes.select(F.explode(band).alias("key"), "node").repartition(parts, "key").sortWithinPartitions("key", "node")
+    met = keys.mapInArrow(_buckets(sub_tile), "bucket long, sub int, visits boolean, node long").distinct()
+    met = stage_table(met.join(nodes.select("node", "signature"), "node"), "minhash-buckets")
 
     def candidates(thin: bool):
         """Of each bucket a spanning forest of its likely pairs, or all of them between different classes."""
@@ -261,13 +323,13 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack: float
         def found(batches):
             key, ids, rows, classes, settled = None, [], [], [], True
             for batch in batches:
-                columns = [batch.column(k).to_pylist() for k in range(7)]
-                for band, bucket, sub, visits, node, signature, own in zip(*columns, strict=True):
-                    if (band, bucket, sub) != key:
+                columns = [batch.column(k).to_pylist() for k in range(6)]
+                for bucket, sub, visits, node, signature, own in zip(*columns, strict=True):
+                    if (bucket, sub) != key:
                         if not settled:
                             yield from within(ids, np.array(rows), classes)
-                        key, ids, rows, classes, settled = (band, bucket, sub), [], [], [], False
-                    value = np.frombuffer(signature, ">u2")
+                        key, ids, rows, classes, settled = (bucket, sub), [], [], [], False
+                    value = np.frombuffer(signature, np.uint8)
                     if not visits:
                         ids.append(node), rows.append(value), classes.append(own)
                         continue
@@ -285,41 +347,100 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, slack: float
         def run(batches):
             pairs = found(batches)
             while some := list(itertools.islice(pairs, 100_000)):
-                src, dst = (pa.array(side) for side in zip(*some, strict=True))
+                src, dst = (pa.array(side, pa.int64()) for side in zip(*some, strict=True))
                 yield pa.RecordBatch.from_arrays([src, dst], names=["src", "dst"])
 
         return run
 
     def likely(classed: DataFrame, thin: bool) -> DataFrame:
-        dealt = classed.withColumn("visits", F.col("sub") != F.col("home")).select("band", "key", "sub", "visits", "rep", "signature", "class")
-        dealt = dealt.repartition(parts, "band", "key", "sub").sortWithinPartitions("band", "key", "sub", "visits")
-        links = dealt.mapInArrow(candidates(thin), schema)
+        dealt = classed.select("bucket", "sub", "visits", "node", "signature", "class")
+        dealt = dealt.repartition(parts, "bucket", "sub").sortWithinPartitions("bucket", "sub", "visits")
+        links = dealt.mapInArrow(candidates(thin), "src long, dst long")
         return links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
 
-    def sets(batches):
-        for batch in batches:
-            data, offsets = text_buffers(batch.column(1))
-            hashes, n = shingle_hashes(data, offsets, wide=True)
-            cuts = np.cumsum(n) - n
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.unique(hashes[c : c + m]).view(np.int64) for c, m in zip(cuts, n, strict=True)], pa.list_(pa.int64()))], names=["doc_id", "shingles"])
-
-    set_schema = T.StructType([T.StructField("doc_id", kind), T.StructField("shingles", T.ArrayType(T.LongType()))])
-
     def verified(links: DataFrame) -> DataFrame:
-        ends = links.select(F.explode(F.array("src", "dst")).alias("doc_id")).distinct()
-        shingles = given.join(ends, "doc_id", "left_semi").mapInArrow(sets, set_schema)
-        a, b = shingles.select(F.col("doc_id").alias("src"), F.col("shingles").alias("sa")), shingles.select(F.col("doc_id").alias("dst"), F.col("shingles").alias("sb"))
-        both = F.size(F.array_intersect("sa", "sb"))
-        whole = F.size("sa") + F.size("sb") - both
-        return links.join(a, "src").join(b, "dst").where((whole == 0) | (both / whole >= threshold)).select("src", "dst")
-
-    links = stage_table(likely(met.withColumn("class", F.col("rep")), True), "minhash-links")
+        ends = stage_table(links.select(F.explode(F.array("src", "dst")).alias("node")).distinct().join(nodes.select("node", "rep"), "node"), "minhash-ends")
+        ends = ends.select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.tie").alias("_tie"))
+        side = F.broadcast(ends) if ends.count() <= BROADCAST_ENDS else ends
+        met = given.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("node", "text")
+        texts = _packed(met).groupBy("node").agg(F.first("text").alias("text"))
+        of = lambda end, name: texts.select(F.col("node").alias(end), F.col("text").alias(name))
+        both = links.join(of("src", "a"), "src").join(of("dst", "b"), "dst").select("src", "dst", "a", "b")
+
+        def run(batches):
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 64):
+                    some = batch.slice(lo, 64)
+                    sets = [_shingle_sets(pa.array(_unpacked(some.column(k).to_pylist()), pa.large_string())) for k in (2, 3)]
+                    near = []
+                    for x, y in zip(*sets, strict=True):
+                        shared = len(np.intersect1d(x, y, assume_unique=True))
+                        whole = len(x) + len(y) - shared
+                        near.append(whole == 0 or shared / whole >= threshold)
+                    yield pa.RecordBatch.from_arrays([some.column(k).filter(pa.array(near)) for k in (0, 1)], names=["src", "dst"])
+
+        return both.mapInArrow(run, "src long, dst long")
+
+    links = stage_table(likely(met.withColumn("class", F.col("node")), True), "minhash-links")
     sure = stage_table(verified(links), "sure-links")
     roots = connected_components(sure)
-    classed = met.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("class", F.coalesce("component", "rep"))
+    classed = met.join(roots, "node", "left").withColumn("class", F.coalesce("component", "node"))
     rest = stage_table(likely(classed, False).join(links, ["src", "dst"], "left_anti"), "minhash-rest")
-    roots = connected_components(sure.unionByName(verified(rest)))
+    if not rest.isEmpty():
+        roots = connected_components(sure.unionByName(verified(rest)))
     for table in (links, rest, met):
         drop_table(table)
-    member = rep.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("signature", F.coalesce("component", "rep").alias("class_id"))
-    return signed.join(member, "signature").select("doc_id", "class_id")
+    member = nodes.join(roots, "node", "left").select("h1", "h2", "rep", F.coalesce("component", "node").alias("root"))
+    named = member.groupBy("root").agg(F.min("rep").alias("first")).select("root", F.col("first.doc_id").alias("class_id"))
+    label = stage_table(member.join(named, "root").select("h1", "h2", "class_id"), "minhash-labels")
+    return thin.join(label, ["h1", "h2"]).select("doc_id", "tie", "class_id")
+
+
+def _shingle_sets(column: pa.Array) -> list[np.ndarray]:
+    data, offsets = text_buffers(column)
+    hashes, n = shingle_hashes(data, offsets, wide=True)
+    cuts = np.cumsum(n) - n
+    return [np.unique(hashes[c : c + m]) for c, m in zip(cuts, n, strict=True)]
+
+
+def _buckets(sub_tile: int):
+    """Rows (bucket, sub, visits, node) of the keys, sorted by key, that several nodes share.
+
+    A bucket of up to ``sub_tile`` nodes is known by a hash of them, so that bands which bring the same nodes together give
+    the same rows. Of a larger one each node belongs to the part that its place falls in and visits the parts before.
+    """
+
+    def run(batches):
+        key, nodes, n, out = None, [], 0, []
+
+        def small():
+            if 1 < n <= sub_tile:
+                bucket = xxhash.xxh64_intdigest(np.array(nodes, "<i8").tobytes()) - (1 << 63)
+                out.extend((bucket, 0, False, x) for x in nodes)
+
+        def rows():
+            columns = list(zip(*out, strict=True)) or [[], [], [], []]
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int32(), pa.bool_(), pa.int64()), strict=True)], names=["bucket", "sub", "visits", "node"])
+
+        for batch in batches:
+            for now, node in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if now != key:
+                    small()
+                    key, nodes, n = now, [], 0
+                n += 1
+                if n <= sub_tile:
+                    nodes.append(node)
+                    continue
+                if n == sub_tile + 1:
+                    out.extend((key, 0, False, x) for x in nodes)
+                    nodes = []
+                home = (n - 1) // sub_tile
+                out.extend((key, sub, sub < home, node) for sub in range(home + 1))
+                if len(out) > 100_000:
+                    yield rows()
+            yield rows()
+        small()
+        yield rows()
+
+    return run

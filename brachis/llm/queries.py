@@ -21,8 +21,9 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of all documents and of their edited texts, and their likeness."""
-    return minhash.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+    """Fingerprints of all documents and of their edited texts, their likeness, and each document's class of near copies."""
+    docs = read_table(spark, sf_dir, "documents")
+    return minhash.edited_fingerprints(docs, classes=minhash.document_classes(docs))
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
