@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.identifiers import split_tip
+from ..functions.identifiers import lineage_kind, split_tip
 from ..functions.sequences import for_embedding
 
 #: Members of a family that one task clusters by itself, and of a tile of a larger one.
@@ -141,6 +141,20 @@ def layout_2d(vectors: DataFrame, by: str = "hmm") -> DataFrame:
     return coordinates(placed, 2, prefix="UMAP")
 
 
+def plot_points(layout: DataFrame, clusters: DataFrame | None = None, clades: DataFrame | None = None) -> DataFrame:
+    """What a drawing of a layout needs: each point's coordinates, its cluster, its clades and whether it is an ancestor.
+
+    ``clusters(hmm, tip, cluster_id)``; a point without a cluster has none, and one in several clades has them comma-joined.
+    """
+    out = layout.withColumn("type", lineage_kind(F.col("tip")))
+    if clusters is not None:
+        out = out.join(clusters.select("hmm", "tip", "cluster_id"), ["hmm", "tip"], "left")
+    if clades is not None:
+        named = clades.groupBy("tip").agg(F.array_join(F.array_sort(F.collect_set("clade")), ",").alias("clade"))
+        out = out.join(named, "tip", "left")
+    return out
+
+
 def dispersion(points: DataFrame, clades: DataFrame, by: str = "hmm", vector: str = "pc", least: int = 3) -> DataFrame:
     """(by, clade, n, mean_dist_to_centroid, median_dist_to_centroid) of clades with at least ``least`` points.
 
@@ -368,7 +382,6 @@ def cluster_counts(assigned: DataFrame, by: str = "hmm") -> DataFrame:
 
 def assignments(assigned: DataFrame, taxonomy: DataFrame | None = None) -> DataFrame:
     """(hmm, tip, protein, genome, cluster_id, taxonomy, type): the table of clusters, keyed by the whole tip."""
-    from ..functions.identifiers import lineage_kind
     from .taxonomy import with_lineage
 
     genome, protein = split_tip(F.col("tip"))

@@ -261,6 +261,24 @@ def assignment_rows(spark, sf_dir):
     return embedspace.assignments(rows, lineages).unionByName(more, allowMissingColumns=True)
 
 
+def plotted(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings").select(F.lit("f").alias("hmm"), F.concat(F.when(F.col("vec_id") % 9 == 0, "ANC|").otherwise("g|"), _text("vec_id")).alias("tip"), F.get("embedding", F.lit(0)).alias("UMAP1"), "vec_id", "label")
+    clusters = rows.where("label > 2").select("hmm", "tip", F.col("label").alias("cluster_id"))
+    clades = rows.where("vec_id % 2 = 0").select(F.lit("even").alias("clade"), "tip").unionByName(rows.where("vec_id % 3 = 0").select(F.lit("third").alias("clade"), "tip"))
+    return embedspace.plot_points(rows.select("hmm", "tip", "UMAP1"), clusters, clades)
+
+
+def genbank_features(spark, sf_dir):
+    """Orders as coding sequences of GenBank records, one file a customer group."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 5).alias("k"), "o_orderpriority", F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("complement("), _text("o_orderkey"), F.lit(".."), (F.col("o_orderkey") + 30).cast("string"), F.lit(")"))).otherwise(F.concat(_text("o_orderkey"), F.lit(".."), (F.col("o_orderkey") + 30).cast("string"))).alias("place"))
+    one = F.concat(F.lit("     CDS             "), "place", F.lit('\n                     /locus_tag="o'), _text("o_orderkey"), F.lit('"\n                     /product="'), "o_orderpriority", F.lit('\n                     part"\n'))
+    text = orders.groupBy("k").agg(F.concat(F.lit("LOCUS       r"), F.first("k").cast("string"), F.lit("\nFEATURES             Location/Qualifiers\n     source          1..9\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", one.alias("t")))), lambda x: x["t"]), ""), F.lit("ORIGIN\n//")).alias("value"))
+    path = _folder(spark)
+    text.write.partitionBy("k").text(path)
+    found = features.read_genbank(spark, f"{path}/*/*")
+    return found.select("contig", F.col("ord").cast("long").alias("ord"), "start", "end", "strand", ids.first_present(F.col("attributes"), ("locus_tag",)).alias("id"), ids.first_present(F.col("attributes"), ("gene", "product")).alias("label"))
+
+
 def pooled(spark, sf_dir):
     """Embeddings as sixteen tokens of four numbers, pooled without marks."""
     tokens = F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.slice("embedding", i * 4 + 1, 4))
@@ -352,6 +370,8 @@ QUERIES = {
     "q63_pairs_asked": pairs_asked,
     "q64_feature_matches": matching_features,
     "q65_pca_spread": rotated,
+    "q66_plot_points": plotted,
+    "q67_genbank": genbank_features,
 }
 
 _FILES = "f AS (SELECT CASE WHEN s_suppkey%2=0 THEN 'x_' ELSE '' END || replace(s_name,'#','') || ['.fna','.ffn','.cds.x.fna','.gbff','.gff3'][s_suppkey%5+1] AS name FROM supplier), g AS (SELECT replace(s_name,'#','') AS k FROM supplier)"
@@ -394,5 +414,7 @@ ORACLE_SQL = {
     "q62_genome_lineages": "SELECT DISTINCT concat('g',l_suppkey%40,'.faa.gz') AS genome, coalesce(n_name,'Unknown') AS taxonomy FROM lineitem LEFT JOIN nation ON n_nationkey=l_suppkey%40",
     "q63_pairs_asked": "SELECT * FROM (VALUES ('FRANCE','GERMANY'),('CHINA','background')) v(a,b)",
     "q64_feature_matches": "SELECT p_partkey, p_brand='Brand#13' AS by_brand, false AS by_none FROM part",
+    "q66_plot_points": "WITH e AS (SELECT *, CASE WHEN vec_id%9=0 THEN 'ANC|' ELSE 'g|' END || vec_id AS tip FROM embeddings) SELECT 'f' AS hmm, tip, embedding[1] AS \"UMAP1\", CASE WHEN vec_id%9=0 THEN 'ancestral' ELSE 'modern' END AS type, CASE WHEN label>2 THEN label END AS cluster_id, CASE WHEN vec_id%6=0 THEN 'even,third' WHEN vec_id%2=0 THEN 'even' WHEN vec_id%3=0 THEN 'third' END AS clade FROM e",
+    "q67_genbank": "SELECT 'r' || (o_custkey%5) AS contig, row_number() OVER (PARTITION BY o_custkey%5 ORDER BY o_orderkey)-1 AS ord, cast(o_orderkey-1 AS INTEGER) AS start, cast(o_orderkey+30 AS INTEGER) AS \"end\", CASE WHEN o_orderkey%2=0 THEN -1 ELSE 1 END AS strand, 'o' || o_orderkey AS id, o_orderpriority || ' part' AS label FROM orders",
     "q65_pca_spread": "WITH x AS (SELECT vec_id, label, unnest(range(64)) AS j, cast(unnest(embedding) AS DOUBLE) AS v FROM embeddings), m AS (SELECT label, j, avg(v) AS m FROM x GROUP BY label, j) SELECT cast(x.label AS VARCHAR) AS hmm, round(sum((v-m)*(v-m)),3) AS spread, true AS centred, count(DISTINCT vec_id) AS n, true AS falling FROM x JOIN m ON x.label=m.label AND x.j=m.j GROUP BY x.label",
 }

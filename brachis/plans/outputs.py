@@ -24,6 +24,10 @@ TABLES = {
     "pca": ("embeddings", "pca.tsv"),
     "layout": ("embeddings", "umap.tsv"),
     "dispersion": ("embeddings", "dispersion.tsv"),
+    "plot": ("embeddings", "umap.points.tsv"),
+    "combined_pca": ("embeddings", "combined_with_ancestors.pca.tsv"),
+    "combined_layout": ("embeddings", "combined_with_ancestors.umap.tsv"),
+    "combined_plot": ("embeddings", "combined_with_ancestors.points.tsv"),
     "vectors_long": ("embeddings", "vectors.tsv"),
     "tracks": ("synteny", "tracks.tsv"),
     "links": ("synteny", "links.tsv"),

@@ -132,6 +132,7 @@ def _space(rows: DataFrame, t: Tables, c: dict) -> Tables:
         out["dispersion"] = embedspace.dispersion(points, t["clades"])
     if e["cluster_embeddings"]:
         out["clade_assignment"] = embedspace.assignments(embedspace.cluster(rows, e["hdbscan_min_cluster_size"]), t.get("taxonomy"))
+    out["plot"] = embedspace.plot_points(out["layout"], out.get("clade_assignment"), t.get("clades"))
     return out
 
 

@@ -81,6 +81,8 @@ def test_every_step_leaves_its_tables(spark, project):
     assert read("summary/post_scikitbio/kl_divergence.tsv").count() == 22
     assert {(r.clade, r.status, r.mrca_name) for r in read("summary/post_scikitbio/mrca_sanity.tsv").collect()} == {("one", "ok", "N2"), ("two", "ok", "N3")}
     assert read("embeddings/pca.tsv").count() == 4 and read("embeddings/vectors.tsv").count() == 16
+    assert {(r.clade, r.type) for r in read("embeddings/umap.points.tsv").collect()} == {("one", "modern"), ("two", "modern")}
+    assert sorted(r.type for r in read("embeddings/combined_with_ancestors.points.tsv").collect()) == ["ancestral"] * 2 + ["modern"] * 4
     clusters = read("summary/clade_assignment.tsv")
     assert {r.hmm for r in clusters.select("hmm").distinct().collect()} == {"famX", "combined_with_ancestors"} and clusters.count() == 10
     tracks = read("synteny/tracks.tsv")
