@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from brachis.llm import embeddings, queries
@@ -69,8 +70,10 @@ def test_sketches_settle_pairs_rightly():
                 assert dots[a, b] < 0.95 if (a, b) not in met else dots[a, b] >= 0.95 or not met[a, b]
 
 
-def test_links_do_not_depend_on_the_partitions(spark):
-    """Planted pairs just above the threshold, in a table without other links."""
+@pytest.mark.parametrize("bucket", [100_000, 150])
+def test_links_do_not_depend_on_the_partitions(spark, monkeypatch, bucket):
+    """Planted pairs just above the threshold, in a table without other links; in one bucket a pass, and in several."""
+    monkeypatch.setattr(embeddings, "SORT_TASK", bucket)
     rng = np.random.default_rng(5)
     unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
     x = unit(rng.normal(size=(600, 48)))
