@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_table, fold_ascii, slices, stage_table, text_buffers, word_spans
+from .common import drop_table, fold_ascii, release_memory, slices, stage_table, text_buffers, word_spans
 from .components import connected_components
 
 SHINGLE = 5
@@ -35,7 +35,7 @@ BANDS, BAND_ROWS = 18, 5
 #: Documents to be verified that are broadcast by id (some 30 MB); more are joined by shuffle.
 BROADCAST_ENDS = 1_000_000
 #: A bucket's part that one task holds in memory; larger buckets are cut, and every later member meets every part.
-SUB_TILE = 4_096
+SUB_TILE = 2_048
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SEED = 42
 
@@ -145,9 +145,11 @@ def _packed(rows: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
         for batch in batches:
-            columns = list(batch.columns)
-            columns[at] = pa.array([None if x is None else pack(x.encode()) for x in columns[at].to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            for lo in range(0, batch.num_rows, 500):
+                columns = [c.slice(lo, 500) for c in batch.columns]
+                columns[at] = pa.array([None if x is None else pack(x.encode()) for x in columns[at].to_pylist()], pa.binary())
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+        release_memory()
 
     return rows.mapInArrow(run, T.StructType(fields))
 
@@ -250,6 +252,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                     ],
                     names=schema.names,
                 )
+        release_memory()
 
     marks = None if classes is None else classes.select("doc_id", "tie", F.col("class_id").alias("mark")).distinct()
     out = with_successors(docs, id_col, text_col, marks=marks).mapInArrow(run, schema)
@@ -283,7 +286,8 @@ def document_classes(docs: DataFrame, threshold: float = THRESHOLD, slack: float
     same nodes being one; a bucket is compared part by part, nodes streaming past the part in memory, and gives a spanning
     forest of the pairs whose signatures agree within ``slack`` of the threshold. Each such link is then verified on the sets
     of all shingles, known by 64-bit hashes. As links that fail may have stood for pairs that would not, the buckets are
-    compared once more and give all such pairs that the verified links do not join, which are verified too.
+    compared once more: those of their nodes that are likely partners of nodes in another class come together with their
+    texts and are compared exactly, and again only a spanning forest leaves the task.
     """
     least = int(np.ceil((threshold - slack) * PERMUTATIONS))
     given = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("tie", F.xxhash64("text"))
@@ -296,6 +300,7 @@ def document_classes(docs: DataFrame, threshold: float = THRESHOLD, slack: float
         for batch in batches:
             low = (minhash_batch(batch.column(2)) & np.uint16(255)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x.tobytes() for x in low], pa.binary())], names=signed_schema.names)
+        release_memory()
 
     signed = given.select("doc_id", "tie", "text").mapInArrow(sign, signed_schema)
     same = [F.xxhash64("signature").alias("h1"), F.xxhash64("signature", F.lit(1)).alias("h2")]
@@ -308,62 +313,117 @@ def document_classes(docs: DataFrame, threshold: float = THRESHOLD, slack: float
     met = keys.mapInArrow(_buckets(sub_tile), "bucket long, sub int, visits boolean, node long").distinct()
     met = stage_table(met.join(nodes.select("node", "signature"), "node"), "minhash-buckets")
 
-    def candidates(thin: bool):
-        """Of each bucket a spanning forest of its likely pairs, or all of them between different classes."""
+    def candidates(batches):
+        """Of each bucket a spanning forest of its likely pairs."""
 
-        def within(ids, rows, classes):
-            if thin:
-                yield from ((ids[v], ids[w]) for v, w in _forest(rows, least))
-                return
-            for v in range(len(rows) - 1):
-                for w in np.flatnonzero((rows[v + 1 :] == rows[v]).sum(1) >= least) + v + 1:
-                    if classes[v] != classes[w]:
-                        yield ids[v], ids[w]
-
-        def found(batches):
-            key, ids, rows, classes, settled = None, [], [], [], True
-            for batch in batches:
-                columns = [batch.column(k).to_pylist() for k in range(6)]
-                for bucket, sub, visits, node, signature, own in zip(*columns, strict=True):
-                    if (bucket, sub) != key:
-                        if not settled:
-                            yield from within(ids, np.array(rows), classes)
-                        key, ids, rows, classes, settled = (bucket, sub), [], [], [], False
-                    value = np.frombuffer(signature, np.uint8)
-                    if not visits:
-                        ids.append(node), rows.append(value), classes.append(own)
-                        continue
+        def found():
+            key, ids, rows, settled = None, [], [], True
+            within = lambda: ((ids[v], ids[w]) for v, w in _forest(np.array(rows), least))
+            for bucket, sub, visits, node, signature, _ in _rows(batches):
+                if (bucket, sub) != key:
                     if not settled:
-                        rows = np.array(rows)
-                        yield from within(ids, rows, classes)
-                        settled = True
-                    if len(ids):
-                        for v in np.flatnonzero((rows == value).sum(1) >= least):
-                            if thin or classes[v] != own:
-                                yield node, ids[v]
+                        yield from within()
+                    key, ids, rows, settled = (bucket, sub), [], [], False
+                value = np.frombuffer(signature, np.uint8)
+                if not visits:
+                    ids.append(node), rows.append(value)
+                    continue
+                if not settled:
+                    yield from within()
+                    rows, settled = np.array(rows), True
+                if len(ids):
+                    yield from ((node, ids[v]) for v in np.flatnonzero((rows == value).sum(1) >= least))
             if not settled:
-                yield from within(ids, np.array(rows), classes)
+                yield from within()
 
-        def run(batches):
-            pairs = found(batches)
-            while some := list(itertools.islice(pairs, 100_000)):
-                src, dst = (pa.array(side, pa.int64()) for side in zip(*some, strict=True))
-                yield pa.RecordBatch.from_arrays([src, dst], names=["src", "dst"])
+        pairs = found()
+        while some := list(itertools.islice(pairs, 100_000)):
+            src, dst = (pa.array(side, pa.int64()) for side in zip(*some, strict=True))
+            yield pa.RecordBatch.from_arrays([src, dst], names=["src", "dst"])
 
-        return run
+    def unsettled(batches):
+        """The nodes of each bucket that are likely partners of one of another class there, each once a bucket."""
 
-    def likely(classed: DataFrame, thin: bool) -> DataFrame:
-        dealt = classed.select("bucket", "sub", "visits", "node", "signature", "class")
-        dealt = dealt.repartition(parts, "bucket", "sub").sortWithinPartitions("bucket", "sub", "visits")
-        links = dealt.mapInArrow(candidates(thin), "src long, dst long")
-        return links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+        def found():
+            key, ids, rows, classes, marked, settled = None, [], [], [], set(), True
 
-    def verified(links: DataFrame) -> DataFrame:
-        ends = stage_table(links.select(F.explode(F.array("src", "dst")).alias("node")).distinct().join(nodes.select("node", "rep"), "node"), "minhash-ends")
+            def within():
+                for v in range(len(rows) - 1):
+                    near = np.flatnonzero(((rows[v + 1 :] == rows[v]).sum(1) >= least) & (classes[v + 1 :] != classes[v])) + v + 1
+                    if len(near):
+                        marked.update([v, *near.tolist()])
+
+            def own():
+                return [(*key, False, ids[v], int(classes[v])) for v in sorted(marked)]
+
+            for bucket, sub, visits, node, signature, group in _rows(batches):
+                if (bucket, sub) != key:
+                    if key is not None:
+                        if not settled:
+                            rows, classes = np.array(rows), np.array(classes)
+                            within()
+                        yield from own()
+                    key, ids, rows, classes, marked, settled = (bucket, sub), [], [], [], set(), False
+                value = np.frombuffer(signature, np.uint8)
+                if not visits:
+                    ids.append(node), rows.append(value), classes.append(group)
+                    continue
+                if not settled:
+                    rows, classes, settled = np.array(rows), np.array(classes), True
+                    within()
+                near = np.flatnonzero(((rows == value).sum(1) >= least) & (classes != group)) if len(ids) else []
+                if len(near):
+                    marked.update(near.tolist())
+                    yield (bucket, sub, True, node, group)
+            if key is not None:
+                if not settled:
+                    rows, classes = np.array(rows), np.array(classes)
+                    within()
+                yield from own()
+
+        members = found()
+        while some := list(itertools.islice(members, 100_000)):
+            columns = zip(zip(*some, strict=True), (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()), strict=True)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], names=["bucket", "sub", "visits", "node", "class"])
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition(parts, "bucket", "sub").sortWithinPartitions("bucket", "sub", "visits")
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """(node, text) of the nodes, compressed."""
+        ends = stage_table(wanted.select("node").distinct().join(nodes.select("node", "rep"), "node"), "minhash-ends")
         ends = ends.select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.tie").alias("_tie"))
         side = F.broadcast(ends) if ends.count() <= BROADCAST_ENDS else ends
         met = given.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("node", "text")
-        texts = _packed(met).groupBy("node").agg(F.first("text").alias("text"))
+        return _packed(met).groupBy("node").agg(F.first("text").alias("text"))
+
+    def compared(batches):
+        """Of each bucket's nodes, with their texts, links of enough similarity that join their classes."""
+
+        def found():
+            key, tile = None, None
+            for bucket, sub, visits, node, group, text in _rows(batches):
+                if (bucket, sub) != key:
+                    if tile:
+                        yield from tile.settle()
+                    key, tile = (bucket, sub), _Tile(threshold)
+                shingles = _shingle_sets(pa.array(_unpacked([text]), pa.large_string()))[0]
+                if not visits:
+                    tile.add(node, group, shingles)
+                else:
+                    yield from tile.settle()
+                    yield from tile.visit(node, group, shingles)
+            if tile:
+                yield from tile.settle()
+
+        links = found()
+        while some := list(itertools.islice(links, 100_000)):
+            src, dst = (pa.array(side, pa.int64()) for side in zip(*some, strict=True))
+            yield pa.RecordBatch.from_arrays([src, dst], names=["src", "dst"])
+        release_memory()
+
+    def verified(links: DataFrame) -> DataFrame:
+        texts = texts_of(links.select(F.explode(F.array("src", "dst")).alias("node")))
         of = lambda end, name: texts.select(F.col("node").alias(end), F.col("text").alias(name))
         both = links.join(of("src", "a"), "src").join(of("dst", "b"), "dst").select("src", "dst", "a", "b")
 
@@ -381,13 +441,16 @@ def document_classes(docs: DataFrame, threshold: float = THRESHOLD, slack: float
 
         return both.mapInArrow(run, "src long, dst long")
 
-    links = stage_table(likely(met.withColumn("class", F.col("node")), True), "minhash-links")
+    plain = lambda links: links.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst")).distinct()
+    empty = met.select("bucket", "sub", "visits", "node", "signature", F.col("node").alias("class"))
+    links = stage_table(plain(dealt(empty).mapInArrow(candidates, "src long, dst long")), "minhash-links")
     sure = stage_table(verified(links), "sure-links")
     roots = connected_components(sure)
-    classed = met.join(roots, "node", "left").withColumn("class", F.coalesce("component", "node"))
-    rest = stage_table(likely(classed, False).join(links, ["src", "dst"], "left_anti"), "minhash-rest")
+    classed = met.join(roots, "node", "left").select("bucket", "sub", "visits", "node", "signature", F.coalesce("component", "node").alias("class"))
+    rest = stage_table(dealt(classed).mapInArrow(unsettled, "bucket long, sub int, visits boolean, node long, class long"), "minhash-unsettled")
     if not rest.isEmpty():
-        roots = connected_components(sure.unionByName(verified(rest)))
+        told = rest.join(texts_of(rest), "node").select("bucket", "sub", "visits", "node", "class", "text")
+        roots = connected_components(sure.unionByName(plain(dealt(told).mapInArrow(compared, "src long, dst long"))))
     for table in (links, rest, met):
         drop_table(table)
     member = nodes.join(roots, "node", "left").select("h1", "h2", "rep", F.coalesce("component", "node").alias("root"))
@@ -396,6 +459,52 @@ def document_classes(docs: DataFrame, threshold: float = THRESHOLD, slack: float
     return thin.join(label, ["h1", "h2"]).select("doc_id", "tie", "class_id")
 
 
+def _rows(batches) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+class _Tile:
+    """Nodes of one part of a bucket with their shingles; gives links that join classes, as many as join what they join."""
+
+    def __init__(self, threshold: float):
+        self.threshold, self.nodes, self.sets, self.up, self.index = threshold, [], [], {}, None
+
+    def _root(self, group: int) -> int:
+        while (above := self.up.get(group, group)) != group:
+            self.up[group] = self.up.get(above, above)
+            group = above
+        return group
+
+    def add(self, node: int, group: int, shingles: np.ndarray) -> None:
+        self.nodes.append((node, group)), self.sets.append(shingles)
+
+    def settle(self) -> Iterator[tuple[int, int]]:
+        """Compare the nodes with each other once all have come; their shingles are then in one sorted list."""
+        if self.index is None:
+            self.size = np.array([len(x) for x in self.sets], np.int64)
+            flat = np.concatenate([np.empty(0, np.uint64), *self.sets])
+            owner = np.repeat(np.arange(len(self.sets)), self.size)
+            order = np.argsort(flat, kind="stable")
+            self.index, self.owner = flat[order], owner[order]
+            for v, (node, group) in enumerate(self.nodes):
+                yield from self.visit(node, group, self.sets[v], v)
+            self.sets = []
+
+    def visit(self, node: int, group: int, shingles: np.ndarray, upto: int | None = None) -> Iterator[tuple[int, int]]:
+        """Links of a node with the tile's nodes, or with those before ``upto``."""
+        low, high = np.searchsorted(self.index, shingles, "left"), np.searchsorted(self.index, shingles, "right")
+        n = high - low
+        places = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        shared = np.bincount(self.owner[places], minlength=len(self.nodes))[:upto]
+        whole = self.size[:upto] + len(shingles) - shared
+        for v in np.flatnonzero((whole == 0) | (shared >= self.threshold * whole - 1e-6)).tolist():
+            a, b = self._root(group), self._root(self.nodes[v][1])
+            if a != b and (whole[v] == 0 or shared[v] / whole[v] >= self.threshold):
+                self.up[a] = b
+                yield node, self.nodes[v][0]
+
+
 def _shingle_sets(column: pa.Array) -> list[np.ndarray]:
     data, offsets = text_buffers(column)
     hashes, n = shingle_hashes(data, offsets, wide=True)

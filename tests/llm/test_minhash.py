@@ -115,6 +115,20 @@ def test_near_duplicates(spark, words):
         assert got == want
 
 
+def test_query_carries_the_classes(spark, words):
+    """Chains at 0.75, 0.875 and 0.875 are one class; repeated and null ids, empty texts and clashing columns."""
+    base = [f"c{k}" for k in range(304)]
+    edit = lambda slots: " ".join("x" + w if k in slots else w for k, w in enumerate(base))
+    a, b, c = edit({10, 30, 50, 70}), edit({200, 220, 240, 260}), edit(set())
+    rows = [(30, a), (20, b), (10, c), (10, words(50, 7)), (None, a), (None, words(60, 8)), (5, None), (6, ""), (7, words(50, 7))]
+    assert jaccard(shingles(a), shingles(b)) < 0.8 <= min(jaccard(shingles(a), shingles(c)), jaccard(shingles(b), shingles(c)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("tie", F.lit("clash")).withColumn("mark", F.lit(1)).withColumn("node", F.lit(1)).repartition(3)
+    got = minhash.edited_fingerprints(docs, classes=minhash.document_classes(docs)).collect()
+    assert sorted(((r.doc_id, r.n_chars, r.class_id) for r in got), key=repr) == sorted([(30, len(a), 10), (20, len(b), 10), (10, len(c), 10), (10, len(words(50, 7)), 7), (None, len(a), 10), (None, len(words(60, 8)), None), (5, 0, 5), (6, 0, 5), (7, len(words(50, 7)), 7)], key=repr)
+    empty = docs.limit(0)
+    assert minhash.edited_fingerprints(empty, classes=minhash.document_classes(empty)).count() == 0
+
+
 def test_pairs_inside_boilerplate_groups(spark, words):
     rng = np.random.default_rng(5)
     base = [f"b{k}" for k in range(600)]
@@ -134,8 +148,10 @@ def test_pairs_inside_boilerplate_groups(spark, words):
         pairs.append((1000 + 2 * k, 1001 + 2 * k))
     known = {k: shingles(t) for k, t in rows}
     assert all(jaccard(known[a], known[b]) >= 0.8 for a, b in pairs)
-    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
     assert [(a, b) for a, b in pairs if got[a] != got[b]] == []
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, sub_tile=40).collect()} == got
     group = {k: k for k in known}
     for a in known:
         for b in known:
