@@ -32,8 +32,8 @@ PERMUTATIONS = 128
 THRESHOLD = 0.8
 #: A pair at the threshold shares a band with probability 0.9992.
 BANDS, BAND_ROWS = 18, 5
-#: Documents to be verified that are broadcast by id (some 30 MB); more are joined by shuffle.
-BROADCAST_ENDS = 1_000_000
+#: Documents to be verified that are broadcast by id (some 20 MB); for more all texts are shuffled once more, compressed.
+BROADCAST_ENDS = 300_000
 #: A bucket's part that one task holds in memory; larger buckets are cut, and every later member meets every part.
 SUB_TILE = 2_048
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -393,9 +393,10 @@ def document_classes(docs: DataFrame, threshold: float = THRESHOLD, slack: float
         """(node, text) of the nodes, compressed."""
         ends = stage_table(wanted.select("node").distinct().join(nodes.select("node", "rep"), "node"), "minhash-ends")
         ends = ends.select("node", F.col("rep.doc_id").alias("_id"), F.col("rep.tie").alias("_tie"))
-        side = F.broadcast(ends) if ends.count() <= BROADCAST_ENDS else ends
-        met = given.join(side, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))).select("node", "text")
-        return _packed(met).groupBy("node").agg(F.first("text").alias("text"))
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("tie") == F.col("_tie"))
+        few = ends.count() <= BROADCAST_ENDS
+        met = _packed(given.join(F.broadcast(ends), same).select("node", "text")) if few else _packed(given).join(ends, same)
+        return met.groupBy("node").agg(F.first("text").alias("text"))
 
     def compared(batches):
         """Of each bucket's nodes, with their texts, links of enough similarity that join their classes."""

@@ -104,13 +104,14 @@ def test_single_document_follows_itself(spark):
     assert r.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and r.near_next == 1.0
 
 
-def test_near_duplicates(spark, words):
+def test_near_duplicates(spark, words, monkeypatch):
     rows = corpus(words)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     known = {k: shingles(t) for k, t in rows if k is not None}
     want = {k: min(j for j in known if jaccard(known[j], known[k]) >= 0.8) for k in known}
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
-    for tile in (1, 4096):
+    for tile, few in ((1, 300_000), (4096, 0)):
+        monkeypatch.setattr(minhash, "BROADCAST_ENDS", few)
         got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, sub_tile=tile).collect()}
         assert got == want
 
