@@ -87,6 +87,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_caches: dict[str, dict] = {}
+
+
+def own_cache(name: str) -> dict:
+    """What a worker keeps for an operator's next task. Those of other operators go, as a worker outlives its stage."""
+    for other in [x for x in _caches if x != name]:
+        del _caches[other]
+    return _caches.setdefault(name, {})
+
+
 def release_memory() -> None:
     """Give memory that a task has freed back to the system, as a worker outlives its task and shares its executor."""
     pa.default_memory_pool().release_unused()

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fold_ascii, release_memory, slices, stage_table, text_buffers
+from .common import fold_ascii, own_cache, release_memory, slices, stage_table, text_buffers
 
 ORDER = 4
 #: Bounds of the learning sample: documents a language, documents in all, languages. They bound the model and its broadcast.
@@ -109,10 +109,13 @@ def learn(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS, *
 
     counted = sample(docs, sample_docs, **columns).mapInArrow(count, "lang string, gram long, n long")
     # bounded by the sample: its languages times the distinct grams of at most sample_docs texts each
-    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    langs = sorted(rows["lang"].unique(), key=lambda x: x.encode())
-    grams = {lang: rows[rows["lang"] == lang].sort_values("gram") for lang in langs}
-    return {"id": uuid.uuid4().hex, "order": order, "langs": langs, "levels": levels([(grams[x]["gram"].to_numpy(np.int64), grams[x]["n"].to_numpy(np.int64)) for x in langs], order)}
+    rows = counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().combine_chunks()
+    coded = rows["lang"].combine_chunks().dictionary_encode()
+    gram, number = rows["gram"].to_numpy(), rows["n"].to_numpy()
+    langs = sorted(coded.dictionary.to_pylist(), key=lambda x: x.encode())
+    place = {lang: k for k, lang in enumerate(coded.dictionary.to_pylist())}
+    own = [np.flatnonzero(coded.indices.to_numpy() == place[lang]) for lang in langs]
+    return {"id": uuid.uuid4().hex, "order": order, "langs": langs, "levels": levels([(gram[x], number[x]) for x in own], order)}
 
 
 def _tail(grams: np.ndarray, n: int) -> np.ndarray:
@@ -183,15 +186,13 @@ class _Places:
         return out
 
 
-_compiled: dict[str, list[tuple[_Places, _Places]]] = {}
-
-
 def _tables(model: dict) -> list[tuple[_Places, _Places]]:
     """Hash tables of the model's grams and contexts, kept for the worker's next task."""
-    if model["id"] not in _compiled:
-        _compiled.clear()
-        _compiled[model["id"]] = [(_Places(x["grams"]), _Places(x["contexts"])) for x in model["levels"]]
-    return _compiled[model["id"]]
+    kept = own_cache("langid")
+    if model["id"] not in kept:
+        kept.clear()
+        kept[model["id"]] = [(_Places(x["grams"]), _Places(x["contexts"])) for x in model["levels"]]
+    return kept[model["id"]]
 
 
 def code_lengths(grams: np.ndarray, model: dict) -> np.ndarray:

@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import own_cache
+
 #: Distinct parts whose ids a worker keeps.
 PARTS = 500_000
 _PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -113,11 +115,9 @@ class WordEncoder:
         return ids[place], upto[at]
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """One encoder a worker."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
+    kept = own_cache("tokens")
+    if path not in kept:
+        kept[path] = WordEncoder(path)
+    return kept[path]
