@@ -442,18 +442,21 @@ def component_links(members: DataFrame, threshold: float = THRESHOLD, tile: int
 
 def near_duplicates(table: DataFrame, threshold: float = THRESHOLD, window: int = WINDOW, recall: float = RECALL, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``table``."""
-    units = stage_table(unit_vectors(table, id_col, vector_col), "units")
+    # equal vectors are known by two hashes, so that vectors themselves are only moved to be compared
+    same = [F.xxhash64("unit").alias("h1"), F.xxhash64("unit", F.lit(1)).alias("h2")]
+    units = stage_table(unit_vectors(table, id_col, vector_col).select("vec_id", "unit", *same), "units")
     fit = F.col("unit").isNotNull() & F.col("vec_id").isNotNull()
-    classes = stage_table(units.where(fit).groupBy("unit").agg(F.min(F.struct("vec_id", F.xxhash64("unit").alias("h"))).alias("rep"), F.count(F.lit(1)).alias("n")), "unit-classes")
+    each = units.where(fit).groupBy("h1", "h2").agg(F.first("unit").alias("unit"), F.min(F.struct("vec_id", F.col("h1").alias("h"))).alias("rep"), F.count(F.lit(1)).alias("n"))
+    classes = stage_table(each, "unit-classes")
     # a representative is known by its id and a hash of its vector, as rows of one id may hold different vectors
     roots = connected_components(all_links(classes, threshold, window, recall))
     roots = stage_table(roots.select(F.col("node").alias("rep"), "component"), "roots")
-    members = stage_table(with_core(classes.join(roots, "rep"), threshold), "linked-units")
+    members = stage_table(with_core(classes.drop("h1", "h2").join(roots, "rep"), threshold), "linked-units")
     links = component_links(members, threshold)
-    label = classes.join(roots, "rep", "left").join(links, "rep", "left")
-    label = stage_table(label.select("unit", F.coalesce("component", "rep")["vec_id"].alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "unit-labels")
+    label = classes.drop("unit").join(roots, "rep", "left").join(links, "rep", "left")
+    label = stage_table(label.select("h1", "h2", F.coalesce("component", "rep")["vec_id"].alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links")), "unit-labels")
     drop_table(classes)
-    inside = units.where(fit).join(label, "unit").select("vec_id", "n_links", "component_id")
+    inside = units.where(fit).select("vec_id", "h1", "h2").join(label, ["h1", "h2"]).select("vec_id", "n_links", "component_id")
     outside = units.where(~fit).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     both = inside.unionByName(outside)
     return both.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
