@@ -36,6 +36,8 @@ BANDS, BAND_ROWS = 18, 5
 BROADCAST_ENDS = 300_000
 #: A bucket's part that one task holds in memory; larger buckets are cut, and every later member meets every part.
 SUB_TILE = 2_048
+#: One node in so many is looked at to find large buckets.
+KEY_SAMPLE = 64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _SEED = 42
 
@@ -309,8 +311,17 @@ def document_classes(docs: DataFrame, threshold: float = THRESHOLD, slack: float
     nodes = stage_table(folded.withColumn("node", F.monotonically_increasing_id()), "minhash-nodes")
 
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring("signature", k * BAND_ROWS + 1, F.lit(BAND_ROWS))))
-    keys = nodes.select(F.explode(band).alias("key"), "node").repartition(parts, "key").sortWithinPartitions("key", "node")
-    met = keys.mapInArrow(_buckets(sub_tile), "bucket long, sub int, visits boolean, node long").distinct()
+    keys = nodes.select(F.explode(band).alias("key"), "node")
+    # keys that a sample shows to be common: their nodes are dealt by hash, so that no task sees all of them
+    some = keys.where(F.pmod(F.xxhash64("node", F.lit(2)), F.lit(KEY_SAMPLE)) == 0).groupBy("key").agg((F.count(F.lit(1)) * KEY_SAMPLE).alias("n"))
+    heavy = stage_table(some.where(F.col("n") > 2 * sub_tile), "minhash-heavy")
+    light, common = keys, None
+    if number := heavy.count():
+        side = F.broadcast(heavy) if number <= BROADCAST_ENDS else heavy
+        light = keys.join(side.select("key"), "key", "left_anti")
+        common = _common(keys.join(side, "key"), sub_tile)
+    met = light.repartition(parts, "key").sortWithinPartitions("key", "node").mapInArrow(_buckets(sub_tile), "bucket long, sub int, visits boolean, node long").distinct()
+    met = met if common is None else met.unionByName(common)
     met = stage_table(met.join(nodes.select("node", "signature"), "node"), "minhash-buckets")
 
     def candidates(batches):
@@ -513,6 +524,20 @@ def _shingle_sets(column: pa.Array) -> list[np.ndarray]:
     return [np.unique(hashes[c : c + m]) for c, m in zip(cuts, n, strict=True)]
 
 
+def _common(keys: DataFrame, sub_tile: int) -> DataFrame:
+    """(bucket, sub, visits, node) of ``keys(key, node, n)`` of large buckets of about n nodes.
+
+    A node belongs to a part by its hash and visits the later ones. Visitors of a part are dealt to several tasks, each of
+    which has the part's own nodes: ``sub`` numbers parts and tasks.
+    """
+    keys = keys.withColumns({"_parts": F.ceil(F.col("n") / sub_tile).cast("int"), "_tasks": F.ceil(F.col("n") / (8 * sub_tile)).cast("int")})
+    home, task = (F.pmod(F.xxhash64("node", F.lit(seed)), F.col(c).cast("long")).cast("int") for seed, c in ((3, "_parts"), (4, "_tasks")))
+    met = keys.withColumns({"_home": home, "_task": task}).withColumn("_part", F.explode(F.sequence("_home", F.col("_parts") - 1)))
+    own = F.col("_part") == F.col("_home")
+    met = met.withColumn("_at", F.explode(F.when(own, F.sequence(F.lit(0), F.col("_tasks") - 1)).otherwise(F.array("_task"))))
+    return met.select(F.col("key").alias("bucket"), (F.col("_part") * F.col("_tasks") + F.col("_at")).alias("sub"), (~own).alias("visits"), "node")
+
+
 def _buckets(sub_tile: int):
     """Rows (bucket, sub, visits, node) of the keys, sorted by key, that several nodes share.
 

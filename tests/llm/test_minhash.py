@@ -130,7 +130,7 @@ def test_query_carries_the_classes(spark, words):
     assert minhash.edited_fingerprints(empty, classes=minhash.document_classes(empty)).count() == 0
 
 
-def test_pairs_inside_boilerplate_groups(spark, words):
+def test_pairs_inside_boilerplate_groups(spark, words, monkeypatch):
     rng = np.random.default_rng(5)
     base = [f"b{k}" for k in range(600)]
 
@@ -153,6 +153,8 @@ def test_pairs_inside_boilerplate_groups(spark, words):
     got = {r.doc_id: r.class_id for r in minhash.near_duplicates(docs).collect()}
     assert [(a, b) for a, b in pairs if got[a] != got[b]] == []
     assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, sub_tile=40).collect()} == got
+    monkeypatch.setattr(minhash, "KEY_SAMPLE", 1)  # every bucket of over 14 nodes is dealt by hash
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(docs, sub_tile=7).collect()} == got
     group = {k: k for k in known}
     for a in known:
         for b in known:
