@@ -11,7 +11,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import identifiers as ids
@@ -269,13 +269,19 @@ def plotted(spark, sf_dir):
 
 
 def genbank_features(spark, sf_dir):
-    """Orders as coding sequences of GenBank records, one file a customer group."""
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 5).alias("k"), "o_orderpriority", F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("complement("), _text("o_orderkey"), F.lit(".."), (F.col("o_orderkey") + 30).cast("string"), F.lit(")"))).otherwise(F.concat(_text("o_orderkey"), F.lit(".."), (F.col("o_orderkey") + 30).cast("string"))).alias("place"))
-    one = F.concat(F.lit("     CDS             "), "place", F.lit('\n                     /locus_tag="o'), _text("o_orderkey"), F.lit('"\n                     /product="'), "o_orderpriority", F.lit('\n                     part"\n'))
-    text = orders.groupBy("k").agg(F.concat(F.lit("LOCUS       r"), F.first("k").cast("string"), F.lit("\nFEATURES             Location/Qualifiers\n     source          1..9\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", one.alias("t")))), lambda x: x["t"]), ""), F.lit("ORIGIN\n//")).alias("value"))
+    """Orders as coding sequences of GenBank records, one file a customer group, in parts of whole records by ranges of orders."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 5).alias("k"), "o_orderpriority")
+    orders = orders.repartitionByRange("k", "o_orderkey").withColumn("part", F.format_string("%08d", F.spark_partition_id()))
+    record = Window.partitionBy("k", "part").orderBy("o_orderkey")
+    begins, ends = F.row_number().over(record) == 1, F.lead(F.lit(False), 1, True).over(record)
+    place = F.concat(_text("o_orderkey"), F.lit(".."), (F.col("o_orderkey") + 30).cast("string"))
+    place = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("complement("), place, F.lit(")"))).otherwise(place)
+    one = F.concat(F.lit("     CDS             "), place, F.lit('\n                     /locus_tag="o'), _text("o_orderkey"), F.lit('"\n                     /product="'), "o_orderpriority", F.lit('\n                     part"'))
+    title = F.concat(F.lit("LOCUS       r"), _text("k"), F.lit("\nFEATURES             Location/Qualifiers\n     source          1..9\n"))
+    rows = orders.withColumns({"begins": begins, "ends": ends}).sortWithinPartitions("k", "part", "o_orderkey")
     path = _folder(spark)
-    text.write.partitionBy("k").text(path)
-    found = features.read_genbank(spark, f"{path}/*/*")
+    rows.select("k", "part", F.concat(F.when(F.col("begins"), title).otherwise(""), one, F.when(F.col("ends"), "\nORIGIN\n//").otherwise("")).alias("value")).write.partitionBy("k", "part").text(path)
+    found = features.read_genbank(spark, f"{path}/*/*", F.regexp_extract("path", "/(k=[^/]*)/[^/]*/[^/]*$", 1))
     return found.select("contig", F.col("ord").cast("long").alias("ord"), "start", "end", "strand", ids.first_present(F.col("attributes"), ("locus_tag",)).alias("id"), ids.first_present(F.col("attributes"), ("gene", "product")).alias("label"))
 
 

@@ -1,6 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
+from brachis.plans import catalogue_files
 from brachis.sources import fasta, features, files, tables
+from tests.oracle import compare
 
 GFF = "##gff-version 3\nc1\tsrc\tCDS\t100\t200\t.\t+\t0\tID=prot1;locus_tag=L1;product=first\nc1\tsrc\tgene\t100\t200\t.\t+\t0\tID=gene1\nc1\tsrc\tCDS\t300\t400\t.\t-\t0\tID=prot2;locus_tag=L2;ID=prot2b\nc2\tsrc\tCDS\t10\t90\t.\t+\t0\tID=prot3;note=a=b\nshort\tline\n"
 GENBANK = """LOCUS       CTG1   900 bp
@@ -118,6 +121,39 @@ def test_read_genbank(spark, tmp_path):
     assert rows[0].attributes["translation"] == ["MKVLLA"] and rows[1].attributes["product"] == ["two words"]
 
 
+def test_genbank_over_splits(spark, tmp_path):
+    cds = lambda k: f'     CDS             complement({k + 1}..{k + 9},\n                     {k + 20}..{k + 30})\n                     /locus_tag="L{k}"\n     gene            1..2\n                     /note="é\n                     /no=key"\n'
+    sequence = "".join(f"{k * 60 + 1:>9} {'acgt' * 15}\n" for k in range(30))
+    record = lambda r: f"LOCUS       C{r}\nVERSION     C{r}.{r}\nSOURCE      x\n  ORGANISM  y\nFEATURES             Location/Qualifiers\n{''.join(map(cds, range(20)))}ORIGIN\n{sequence}//\n"
+    text = "".join(map(record, range(5)))
+    write(tmp_path, "a big.gbk", text)
+    write(tmp_path, "cut.gbk", text[:900])
+    write(tmp_path, "empty.gbk", "")
+    (tmp_path / "junk.gbk").write_bytes(bytes(range(256)) * 9)
+    wanted = [(f, k, *x) for f, t in (("a big.gbk", text), ("cut.gbk", text[:900])) for k, x in enumerate(features.parse_genbank(t))]
+    assert wanted[99][:3] == ("a big.gbk", 99, "C4.4")
+    for size in ("1500", "20000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            read = features.read_genbank(spark, f"{tmp_path}/*.gb*")
+            assert sorted(map(tuple, read.collect())) == wanted
+            assert read.where("file = 'a big.gbk'").select(F.spark_partition_id()).distinct().count() > 1  # one file, several tasks
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_genbank_query_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalogue_files, "_folder", lambda _: str(tmp_path / "g"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        compare(spark, "/root/testdata/sf0.001", "q67_genbank", catalogue_files.QUERIES["q67_genbank"], catalogue_files.ORACLE_SQL["q67_genbank"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    texts = [p.read_text() for p in tmp_path.glob("g/k=*/**/part-*")]
+    assert len(texts) > 5  # a group is not one task's text
+    assert all(t.startswith("LOCUS") and t.endswith("ORIGIN\n//\n") for t in texts)
+
+
 def test_cds_and_annotation_files(spark, tmp_path):
     names = ["g1.fna", "g1.ffn", "x_g2.fna", "g3.cds.part.fna", "g3.gbff", "g3.gff3"]
     listed = spark.createDataFrame([(f"/d/{n}", n) for n in names], "path string, name string")
